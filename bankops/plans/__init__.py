@@ -1 +1,4 @@
+"""All registered queries."""
 
+from bankops.plans import column_queries, tables_queries  # noqa: F401
+from bankops.plans.registry import ORACLES, QUERIES  # noqa: F401
