@@ -27,7 +27,6 @@ from bankops.operators.skew import (
 AXIS = "_axis"
 _ROW_FUNCTIONS = {
     "sum": F.sum,
-    "avg": F.avg,
     "stddev": F.stddev,
     "min": F.min,
     "max": F.max,
@@ -75,6 +74,11 @@ def rolling(
     if (rows is None) == (days is None):
         raise ValueError("give exactly one of rows and days")
     value = F.col(value) if isinstance(value, str) else value
+    if fn == "avg":  # exact sum over count, so that the mean does not depend on summing order
+        kept = df.columns
+        for part in ("sum", "count"):
+            df = rolling(df, key, ts, value, part, tie, f"_{part}", rows, days, hot_rows)
+        return df.select(*kept, share(F.col("_sum"), F.col("_count")).alias(name))
     if rows is not None:
         apply = _ROW_FUNCTIONS[fn]
         return over_rows(
@@ -86,11 +90,6 @@ def rolling(
             lambda w: {name: apply(value).over(w.rowsBetween(1 - rows, 0))},
             hot_rows,
         )
-    if fn == "avg":
-        both = {f"_sum_{name}": ("sum", value), f"_n_{name}": ("count", value)}
-        out = over_days(df, key, ts, days, both, tie, hot_rows)
-        mean = share(F.col(f"_sum_{name}"), F.col(f"_n_{name}"))
-        return out.withColumn(name, mean).drop(*both)
     return over_days(df, key, ts, days, {name: (fn, value)}, tie, hot_rows)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
@@ -36,8 +38,20 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 
 
 def inline_rows(spark: SparkSession, rows: Sequence, schema: StructType | str | Sequence[str] | None = None) -> DataFrame:
-    """A small frame from typed-in rows: lists, tuples or dicts; names, DDL, StructType or inferred."""
-    return spark.createDataFrame(rows, schema)
+    """A small frame from typed-in rows: lists, tuples or dicts; names, DDL, StructType or inferred.
+
+    Handed over as an Arrow table, so Spark knows its size and can choose a broadcast join by it.
+    """
+    fields = spark.createDataFrame(rows, schema).schema
+
+    def value(row, i: int, name: str):
+        if isinstance(row, dict):
+            return row.get(name)
+        return row[i] if isinstance(row, (list, tuple)) else row
+
+    columns = [[value(r, i, f.name) for r in rows] for i, f in enumerate(fields)]
+    types = to_arrow_schema(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, t.type) for c, t in zip(columns, types)], schema=types), fields)
 
 
 def id_range(spark: SparkSession, start: int, end: int, step: int = 1) -> DataFrame:
