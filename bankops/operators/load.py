@@ -172,7 +172,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
             affected = target.filter(F.col(partition_by).isin(values))
             result = durable(upsert(affected, source, keys))
             left = {r[0] for r in result.select(partition_by).distinct().collect()}
-            result.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+            gathered = result.hint("rebalance", F.col(partition_by))
+            gathered.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
             for gone in set(values) - left:
                 remove_path(spark, f"{path.rstrip('/')}/{partition_by}={gone}")
             spark.catalog.refreshByPath(path)
@@ -212,9 +213,12 @@ def run_batch(
     """All or nothing: any reject logs the rejects and writes no target row.
 
     ``target``, ``control`` and ``rejects`` are Parquet folders. The control row comes last, so a batch
-    without one did not finish.
+    without one did not finish; running it again under its id is safe, since its own stored rows do not
+    count as duplicates and are replaced.
     """
-    known = read_source(spark, target) if path_exists(spark, target) else None
+    known = None
+    if path_exists(spark, target):
+        known = read_source(spark, target).filter(F.col("batch_id") != batch_id)
     checked = check_batch(source, known, key, rules, hash_cols, reject_repeated).persist()
     try:
         entry = control_row(checked, batch_id, dataset, run_time)

@@ -4,6 +4,7 @@ from bankops.plans import (  # noqa: F401
     column_queries,
     join_queries,
     load_queries,
+    ml_queries,
     tables_queries,
     window_queries,
 )

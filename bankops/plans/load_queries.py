@@ -133,12 +133,12 @@ def etl_normalise(t):
 def etl_run(t):
     """A clean first batch, then the whole feed, which must be refused."""
     paths = [scratch_path(t.spark, n) for n in ("target", "control", "rejects")]
-    feed = source(t)
-    stored = ["transaction_id", "account_id", "transaction_date", "amount"]
+    feed = source(t).withColumn("period", F.year("transaction_date").cast("string"))
+    stored = ["transaction_id", "account_id", "transaction_date", "amount", "period"]
     clean = feed.filter("o_orderstatus = 'F'").select(*stored)
     stamp = F.lit("2024-01-31 00:00:00")
     for batch, rows in (("b1", clean), ("b2", feed.select(*stored))):
-        ld.run_batch(t.spark, rows, *paths, KEY, ld.standard_rules("amount", KEY), batch, stamp, partition_by="transaction_date")
+        ld.run_batch(t.spark, rows, *paths, KEY, ld.standard_rules("amount", KEY), batch, stamp, partition_by="period")
     return read_source(t.spark, paths[1]).select("Batch_ID", "Status", "Count_Summary", "Hash_Status")
 
 

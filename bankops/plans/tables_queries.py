@@ -84,7 +84,6 @@ def src_table(t):
 )
 def sink_partitioned(t):
     path = scratch_path(t.spark, "parts")
-    # one task per key would hold a heavy key whole, so rows go out from the tasks they are in
     write_sink(t.events, path, partition_by=["event_type"])
     back = read_source(t.spark, path)
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MODES = ("errorifexists", "append", "overwrite", "ignore")
@@ -55,13 +56,17 @@ def write_sink(
     """Write a folder of part files.
 
     Overwriting writes next to the target first and swaps the folders only when that has succeeded, so a
-    failed job leaves the old data, and a frame may overwrite the path it is read from.
+    failed job leaves the old data, and a frame may overwrite the path it is read from. Rows of a
+    partitioned write are first gathered by partition value, of which adaptive execution splits large ones
+    and merges small ones: few files, and no task holding a heavy value whole.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
 
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
     def save(to: str, how: str) -> None:
-        writer = df.write.format(fmt).options(**options).mode(how)
+        writer = rows.write.format(fmt).options(**options).mode(how)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(to)
