@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankops.ml.synth import uniform
-from bankops.operators.relational import drop_known
 
 
 def split_hash(df: DataFrame, key: str, frac: float, stream: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -29,10 +28,18 @@ def split_random(df: DataFrame, frac: float, seed: int) -> tuple[DataFrame, Data
     return train, test
 
 
-def split_stratified(df: DataFrame, label: str, key: str, frac: Mapping[int, float], seed: int) -> tuple[DataFrame, DataFrame]:
-    """Sample each class at its own fraction; the rest are all rows whose key was not drawn."""
-    train = df.sampleBy(label, dict(frac), seed)
-    return train, drop_known(df, train, [key])
+def split_stratified(df: DataFrame, label: str, key: str, frac: Mapping, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Draw each class at its own fraction; the rest is every row not drawn, other classes included.
+
+    The draw depends on the key alone. A retried task, or the second reading of the frame for the rest,
+    therefore decides alike, and no join is needed to find the rest.
+    """
+    numeric = df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte")
+    draw = uniform(F.col(key) if numeric else F.xxhash64(key), seed)
+    share_of = F.lit(0.0)
+    for value, fraction in frac.items():
+        share_of = F.when(F.col(label) == value, float(fraction)).otherwise(share_of)
+    return df.filter(draw < share_of), df.filter(draw >= share_of)
 
 
 def assemble(df: DataFrame, cols: Sequence[str], name: str = "features") -> DataFrame:

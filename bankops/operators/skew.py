@@ -44,11 +44,19 @@ _MERGE = {
 
 
 def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
+    """Rows of one key that one task may hold: the argument, else the session setting, else the default."""
     if hot_rows is not None:
         return hot_rows
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
 
 
+def fits_one_task(df: DataFrame, hot_rows: int | None) -> bool:
+    """Whether the whole input is small by Spark's estimate; a limit that was set is always obeyed."""
+    if hot_rows is not None or df.sparkSession.conf.get(HOT_ROWS_CONF, None) is not None:
+        return False
+    return estimated_bytes(df) < SMALL_INPUT_BYTES
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of ``keys`` with the prefixed copies on the right."""
     pairs = [left[k].eqNullSafe(right[prefix + k]) for k in keys]
@@ -61,10 +69,10 @@ def split_hot(
     """(ordinary rows, rows of heavy keys or None, number of chunks for the latter).
 
     A key is heavy above ``hot_rows`` rows, so there are at most N / hot_rows of them. An input that
-    fits one task is not searched at all unless ``hot_rows`` is given.
+    fits one task is not searched at all.
     """
     limit = hot_limit(df, hot_rows)
-    if hot_rows is None and estimated_bytes(df) < SMALL_INPUT_BYTES:
+    if fits_one_task(df, hot_rows):
         return df, None, 0
     found = (
         df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
@@ -146,13 +154,14 @@ def running(
 ) -> DataFrame:
     """Running aggregates from the first row of a key to the current one.
 
-    ``order`` must be total. With no keys the whole table is one running sequence, computed by range
-    chunks rather than in a single task.
+    ``order`` must be total. With no keys the whole table is one running sequence: counted first, and
+    computed by range chunks once it exceeds what one task may hold.
     """
-    if not keys:
-        limit = hot_limit(df, hot_rows)
-        return running_hot(df, keys, order, aggs, ceil(df.count() / limit))
-    rest, hot, chunks = split_hot(df, keys, hot_rows)
+    if keys:
+        rest, hot, chunks = split_hot(df, keys, hot_rows)
+    else:
+        chunks = ceil(df.count() / hot_limit(df, hot_rows))
+        rest, hot = (df, None) if chunks <= 1 else (df.limit(0), df)
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     plain = rest.withColumns({n: _LOCAL[kind](c).over(frame) for n, (kind, c) in aggs.items()})
     if hot is None:

@@ -107,10 +107,14 @@ def split_hash(t):
     return sides(*models.split_hash(t.orders.select("o_orderkey"), "o_orderkey", 0.8))
 
 
-@query("split_stratified")
+@query(
+    "split_stratified",
+    f"""SELECT o_orderkey, o_orderstatus, CASE WHEN {sql_uniform('o_orderkey', SEED)} < CASE o_orderstatus WHEN 'F' THEN 0.8
+        WHEN 'O' THEN 0.5 ELSE 0 END THEN 'train' ELSE 'test' END AS side FROM orders""",
+)
 def split_stratified(t):
-    rows = cards(t).select("transaction_id", "is_fraud")
-    return sides(*models.split_stratified(rows, "is_fraud", "transaction_id", {0: 0.8, 1: 0.8}, SEED))
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    return sides(*models.split_stratified(rows, "o_orderstatus", "o_orderkey", {"F": 0.8, "O": 0.5}, SEED))
 
 
 # ---- feature stages ----

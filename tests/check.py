@@ -1,5 +1,6 @@
 """Compare all or some queries with DuckDB: ``python tests/check.py <data folder> [key ...]``."""
 
+import os
 import sys
 import time
 import traceback
@@ -16,6 +17,8 @@ from oracle import compare, connect  # noqa: E402
 def main(folder, keys):
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("HOT_ROWS"):  # send every key above this many rows through the split form
+        spark.conf.set("spark.bankops.hotRows", os.environ["HOT_ROWS"])
     con, sqls = connect(folder), entry.oracle_sql()
     bad = 0
     for key, fn in entry.queries().items():
