@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from bankops.functions.columns import clamp, map_lookup
 
-MODULUS = 2_147_483_647
+# Three primes just below 2^31.
+PRIMES = (2_147_483_647, 2_147_483_629, 2_147_483_587)
+
+
+def multipliers(stream: int) -> tuple[int, int, int]:
+    """Factors of a stream, one per prime: powers of small primitive elements, far apart for each stream."""
+    return tuple(pow(g, 7919 * (stream + 1) + 13, p) for g, p in zip((16807, 48271, 69621), PRIMES))
+
 
 # Industries and their risk weights.
 INDUSTRY_RISK = {
@@ -26,12 +33,16 @@ INDUSTRY_RISK = {
 
 
 def uniform(key: Column, stream: int) -> Column:
-    """A number in (0, 1) for the key; each stream is independent of the others."""
-    m = F.lit(MODULUS).cast("long")
-    x = F.pmod(F.pmod(key.cast("long"), m) * 48271 + F.lit((stream + 1) * 69621 * 7919 % MODULUS), m)
-    for _ in range(2):
-        x = F.pmod(x * x + x * 16807 + F.lit(stream * 40692 + 12345), m)
-    return (x.cast("double") + 0.5) / float(MODULUS)
+    """A number in (0, 1) for the key; streams are independent of each other.
+
+    A product, a square and a product, modulo three different primes: a short expression, evaluated in codegen.
+    """
+    key = key.cast("long")
+    (p, q, r), (a, b, c) = PRIMES, multipliers(stream)
+    x = F.pmod(F.pmod(key, F.lit(p)) * F.lit(a).cast("long") + F.shiftright(key, 31) * 48271 + stream + 1, F.lit(p))
+    x = F.pmod(x * (x + F.lit(b % 2**30)), F.lit(q))
+    x = F.pmod(x * F.lit(c).cast("long"), F.lit(r))
+    return (x.cast("double") + 0.5) / float(r)
 
 
 def normal(key: Column, stream: int, mean: float = 0.0, sd: float = 1.0) -> Column:

@@ -98,7 +98,7 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(status == PASS), df.filter(status == REJECT)
 
 
-def reject_rows(bad: DataFrame, batch_id: str, dataset: str, key: str, as_of: Column) -> DataFrame:
+def reject_rows(bad: DataFrame, batch_id: str, dataset: str, key: str, as_of: str | Column) -> DataFrame:
     """Log rows of the rejects: what was refused, why, and the row itself as JSON."""
     return bad.select(
         F.lit(batch_id).alias("Batch_ID"),
@@ -106,7 +106,7 @@ def reject_rows(bad: DataFrame, batch_id: str, dataset: str, key: str, as_of: Co
         F.col(key).cast("string").alias("Business_Key"),
         F.col("error_reason").alias("Error_Reason"),
         F.to_json(F.struct("*")).alias("Raw_Record"),
-        as_of.cast("timestamp").alias("Timestamp"),
+        F.lit(as_of).cast("timestamp").alias("Timestamp"),
     )
 
 
@@ -132,7 +132,7 @@ def control_row(checked: DataFrame, batch_id: str, dataset: str, run_time: str =
 
 
 def normalise(
-    good: DataFrame, batch_id: str, as_of: Column, key: str = "transaction_id", date: str = "transaction_date",
+    good: DataFrame, batch_id: str, as_of: str | Column, key: str = "transaction_id", date: str = "transaction_date",
     amount: str = "amount", order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """The stored form: no helper columns, typed, stamped, one row per key.
@@ -143,7 +143,7 @@ def normalise(
     typed = (
         good.select(*kept)
         .withColumns({date: F.col(date).cast("date"), amount: F.col(amount).cast("decimal(18,2)")})
-        .withColumns({"batch_id": F.lit(batch_id), "load_timestamp": as_of.cast("timestamp")})
+        .withColumns({"batch_id": F.lit(batch_id), "load_timestamp": F.lit(as_of).cast("timestamp")})
     )
     return latest_per_key(typed, [key], order or [F.col(c).asc_nulls_last() for c in kept])
 
@@ -203,7 +203,7 @@ def run_batch(
     key: str,
     rules: Sequence[Rule],
     batch_id: str,
-    as_of: Column,
+    as_of: str | Column,
     dataset: str = "bank_accounts",
     hash_cols: Sequence[str] = ("transaction_id", "amount", "transaction_date"),
     partition_by: str | None = None,

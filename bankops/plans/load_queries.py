@@ -79,7 +79,7 @@ def etl_split(t):
 )
 def etl_reject_log(t):
     _, bad = ld.split(checked(t))
-    log = ld.reject_rows(bad, "b1", "bank_accounts", KEY, F.lit("2024-01-31 00:00:00"))
+    log = ld.reject_rows(bad, "b1", "bank_accounts", KEY, "2024-01-31 00:00:00")
     return log.select("Batch_ID", "Dataset", "Business_Key", "Error_Reason")
 
 
@@ -119,7 +119,7 @@ def etl_upsert(t):
 def etl_normalise(t):
     good, _ = ld.split(checked(t).drop("o_orderstatus", "o_orderkey"))
     twice = good.unionByName(good)  # a feed that repeats itself
-    stored = ld.normalise(twice, "b1", F.lit("2024-01-31 00:00:00"))
+    stored = ld.normalise(twice, "b1", "2024-01-31 00:00:00")
     return stored.select(KEY, "account_id", F.col("transaction_date").cast("string"), F.col("amount").cast("double"), "batch_id")
 
 
@@ -136,7 +136,7 @@ def etl_run(t):
     feed = source(t).withColumn("period", F.year("transaction_date").cast("string"))
     stored = ["transaction_id", "account_id", "transaction_date", "amount", "period"]
     clean = feed.filter("o_orderstatus = 'F'").select(*stored)
-    stamp = F.lit("2024-01-31 00:00:00")
+    stamp = "2024-01-31 00:00:00"
     for batch, rows in (("b1", clean), ("b2", feed.select(*stored))):
         ld.run_batch(t.spark, rows, *paths, KEY, ld.standard_rules("amount", KEY), batch, stamp, partition_by="period")
     return read_source(t.spark, paths[1]).select("Batch_ID", "Status", "Count_Summary", "Hash_Status")

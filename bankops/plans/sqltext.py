@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from math import pi
 
-from bankops.ml.synth import MODULUS
+from bankops.ml.synth import PRIMES, multipliers
 
 
 def sql_uniform(key: str, stream: int) -> str:
     """The number ``bankops.ml.synth.uniform`` draws."""
-    start = (stream + 1) * 69621 * 7919 % MODULUS
-    x = f"((({key} % {MODULUS}) * 48271 + {start}) % {MODULUS})"
-    for _ in range(2):
-        x = f"(({x} * {x} + {x} * 16807 + {stream * 40692 + 12345}) % {MODULUS})"
-    return f"((CAST({x} AS DOUBLE) + 0.5) / {float(MODULUS)!r})"
+    (p, q, r), (a, b, c) = PRIMES, multipliers(stream)
+    x = f"((({key} % {p}) * {a} + ({key} >> 31) * 48271 + {stream + 1}) % {p})"
+    x = f"((({x} * ({x} + {b % 2**30})) % {q}) * {c} % {r})"
+    return f"((CAST({x} AS DOUBLE) + 0.5) / {float(r)!r})"
 
 
 def sql_normal(key: str, stream: int, mean: float, sd: float) -> str:
