@@ -12,17 +12,21 @@ Sums, counts, minima, maxima and last values merge exactly, so results equal the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankops.session import BROADCAST_ROWS, SMALL_INPUT_BYTES, durable, estimated_bytes
+from bankops.session import BROADCAST_ROWS, durable, estimated_bytes
 
 HOT_ROWS_CONF = "spark.bankops.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
+# Spark moves a sliding frame by reading it anew for each row, which is quadratic in busy keys.
+SLIDING_ROWS = 20_000
+# A row of the size estimate takes at least this much.
+ROW_BYTES = 16
 
 # name -> (kind, input column); kinds are listed in _LOCAL
 Aggs = dict[str, tuple[str, Column]]
@@ -50,11 +54,9 @@ def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
 
 
-def fits_one_task(df: DataFrame, hot_rows: int | None) -> bool:
-    """Whether the whole input is small by Spark's estimate; a limit that was set is always obeyed."""
-    if hot_rows is not None or df.sparkSession.conf.get(HOT_ROWS_CONF, None) is not None:
-        return False
-    return estimated_bytes(df) < SMALL_INPUT_BYTES
+def fits_one_task(df: DataFrame, limit: int) -> bool:
+    """Whether the whole input is surely below ``limit`` rows, by Spark's size estimate; runs no job."""
+    return estimated_bytes(df) < limit * ROW_BYTES
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -72,7 +74,7 @@ def split_hot(
     fits one task is not searched at all.
     """
     limit = hot_limit(df, hot_rows)
-    if fits_one_task(df, hot_rows):
+    if fits_one_task(df, limit):
         return df, None, 0
     found = (
         df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
@@ -276,10 +278,10 @@ def _range_sums_hot(
     return done.select("_row.*", *out)
 
 
-def _range_extremes_hot(
-    df: DataFrame, keys: Sequence[str], axis: str, before: int, aggs: Aggs, tie: str, chunks: int
+def _range_extremes_busy(
+    df: DataFrame, keys: Sequence[str], axis: str, before: int, aggs: Aggs, tie: str, hot_rows: int | None
 ) -> DataFrame:
-    """Minima and maxima over the frame [axis - before, axis].
+    """Minima and maxima over the frame [axis - before, axis], in linear time.
 
     Time is cut into blocks as long as the frame. A frame then is the tail of one block plus the head of
     the next, and both are running extremes, which merge over chunks.
@@ -305,9 +307,9 @@ def _range_extremes_hot(
             *[F.lit(None).cast(data.schema[n].dataType).alias(n) for n in names],
         )
         order = [F.col("_at").desc() if descending else F.col("_at").asc(), F.col("_step"), F.col("_tie")]
-        found = running_hot(
+        found = running(
             real.unionByName(ask), group, order,
-            {f"{label}{n}": (kind, F.col(f"_v_{n}")) for n, (kind, _) in aggs.items()}, 2 * chunks,
+            {f"{label}{n}": (kind, F.col(f"_v_{n}")) for n, (kind, _) in aggs.items()}, hot_rows,
         )
         return found.filter("_step = 1").select("_row.*", *carried, *[f"{label}{n}" for n in aggs])
 
@@ -320,11 +322,61 @@ def _range_extremes_hot(
     )
 
 
+def _by_span(aggs: Aggs, before: int | Mapping[str, int]) -> dict[int, Aggs]:
+    """The aggregates grouped by the length of their frame."""
+    groups: dict[int, Aggs] = {}
+    for n, agg in aggs.items():
+        groups.setdefault(before if isinstance(before, int) else before[n], {})[n] = agg
+    return groups
+
+
+def _range_sums(
+    df: DataFrame, keys: Sequence[str], axis: str, spans: dict[int, Aggs], after: int, tie: str, hot_rows: int | None
+) -> DataFrame:
+    rest, hot, chunks = split_hot(df, keys, hot_rows)
+    ordered = Window.partitionBy(*keys).orderBy(axis)
+    upto = ordered.rangeBetween(Window.unboundedPreceding, after)
+    # all up to the frame's end less all before its start: both only ever grow, so time is linear
+    out = {}
+    for span, aggs in spans.items():
+        left = ordered.rangeBetween(Window.unboundedPreceding, -span - 1)
+        for n, (kind, c) in aggs.items():
+            seen = F.count(c).over(upto) - F.count(c).over(left)
+            total = F.sum(c).over(upto) - F.coalesce(F.sum(c).over(left), F.lit(0))
+            out[n] = seen if kind == "count" else F.when(seen > 0, total)
+    types = {
+        n: rest.select(_LOCAL[kind](c).alias(n)).schema[n].dataType for aggs in spans.values() for n, (kind, c) in aggs.items()
+    }
+    if any(t.typeName() in ("double", "float") for t in types.values()):
+        raise ValueError("sums over a range frame need whole numbers or decimals")
+    plain = rest.withColumns({n: c.cast(types[n]) for n, c in out.items()})
+    if hot is None:
+        return plain
+    for span, aggs in spans.items():
+        hot = _range_sums_hot(hot, keys, axis, span, after, aggs, tie, chunks)
+    return plain.unionByName(as_types(hot, plain))
+
+
+def _range_extremes(
+    df: DataFrame, keys: Sequence[str], axis: str, spans: dict[int, Aggs], tie: str, hot_rows: int | None
+) -> DataFrame:
+    rest, busy, _ = split_hot(df, keys, min(hot_limit(df, hot_rows), SLIDING_ROWS))
+    ordered = Window.partitionBy(*keys).orderBy(axis)
+    plain = rest.withColumns(
+        {n: _LOCAL[kind](c).over(ordered.rangeBetween(-span, 0)) for span, aggs in spans.items() for n, (kind, c) in aggs.items()}
+    )
+    if busy is None:
+        return plain
+    for span, aggs in spans.items():
+        busy = _range_extremes_busy(busy, keys, axis, span, aggs, tie, hot_rows)
+    return plain.unionByName(as_types(busy, plain))
+
+
 def over_range(
     df: DataFrame,
     keys: Sequence[str],
     axis: str,
-    before: int,
+    before: int | Mapping[str, int],
     aggs: Aggs,
     tie: str,
     after: int = 0,
@@ -332,21 +384,16 @@ def over_range(
 ) -> DataFrame:
     """Aggregates over the rows of a key with ``axis`` within [axis - before, axis + after].
 
-    ``axis`` is a long column; both ends belong to the frame and so do rows of equal axis. Kinds are sum,
-    count, and (with ``after`` 0) min and max. Sums of decimals and integers are exact.
+    ``axis`` is a long column; both ends belong to the frame and so do rows of equal axis. ``before`` is one
+    length or one per aggregate; frames of all lengths share one shuffle and one sort. Kinds are sum and count,
+    which are exact, and (with ``after`` 0) min and max.
     """
     extremes = {n: a for n, a in aggs.items() if a[0] in ("min", "max")}
     sums = {n: a for n, a in aggs.items() if a[0] in ("sum", "count")}
     if len(extremes) + len(sums) != len(aggs) or (extremes and after):
         raise ValueError("over_range takes sum and count, or min and max looking back only")
-    rest, hot, chunks = split_hot(df, keys, hot_rows)
-    frame = Window.partitionBy(*keys).orderBy(axis).rangeBetween(-before, after)
-    plain = rest.withColumns({n: _LOCAL[kind](c).over(frame) for n, (kind, c) in aggs.items()})
-    if hot is None:
-        return plain
-    done = hot
     if sums:
-        done = _range_sums_hot(done, keys, axis, before, after, sums, tie, chunks)
+        df = _range_sums(df, keys, axis, _by_span(sums, before), after, tie, hot_rows)
     if extremes:
-        done = _range_extremes_hot(done, keys, axis, before, extremes, tie, chunks)
-    return plain.unionByName(as_types(done, plain))
+        df = _range_extremes(df, keys, axis, _by_span(extremes, before), tie, hot_rows)
+    return df

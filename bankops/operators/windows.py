@@ -42,14 +42,17 @@ def over_days(
     df: DataFrame,
     key: str | Sequence[str],
     ts: str,
-    days: float,
+    days: float | Mapping[str, float],
     aggs: Aggs,
     tie: str,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Several aggregates over one frame of the last ``days`` days, both ends included."""
+    """Several aggregates over the last ``days`` days, both ends included; one length, or one per aggregate."""
     timed = df.withColumn(AXIS, micros(ts))
-    span = round(days * MICROS_PER_DAY)
+    if isinstance(days, Mapping):
+        span = {n: round(d * MICROS_PER_DAY) for n, d in days.items()}
+    else:
+        span = round(days * MICROS_PER_DAY)
     return over_range(timed, as_list(key), AXIS, span, aggs, tie, hot_rows=hot_rows).drop(AXIS)
 
 

@@ -36,13 +36,14 @@ def as_double(df, *cols):
         FROM events WINDOW d7 AS ({D7}), d30 AS ({D30})""",
 )
 def account_features(t):
-    week = wx.over_days(rows(t), KEY, TS, 7, {"n_7d": ("count", F.lit(1))}, TIE)
-    month = {
+    aggs = {
+        "n_7d": ("count", F.lit(1)),
         "sum_30d": ("sum", money("value")),
         "_failed": ("sum", F.when(failed(), 1).otherwise(0).cast("long")),
         "_all": ("count", F.lit(1)),
     }
-    out = wx.over_days(week, KEY, TS, 30, month, TIE)
+    days = {"n_7d": 7, "sum_30d": 30, "_failed": 30, "_all": 30}
+    out = wx.over_days(rows(t), KEY, TS, days, aggs, TIE)
     ratio = share(F.col("_failed"), F.col("_all")).alias("fail_ratio_30d")
     return out.select("event_id", "user_id", "n_7d", F.col("sum_30d").cast("double").alias("sum_30d"), ratio)
 

@@ -7,8 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs below this size fit one task, so no key in them needs splitting.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # A side is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 1_000_000
 
