@@ -231,50 +231,56 @@ def _range_sums_hot(
     df: DataFrame,
     keys: Sequence[str],
     axis: str,
-    before: int,
+    spans: dict[int, Aggs],
     after: int,
-    aggs: Aggs,
     tie: str,
     chunks: int,
 ) -> DataFrame:
-    """Sums and counts over a range frame, as one running sum of entries and exits.
+    """Sums and counts over range frames, as one running sum of entries and exits.
 
-    A row enters the frame of every position from ``axis - after`` on and leaves it past
-    ``axis + before``. Summing entries minus exits up to a row's own position gives its frame exactly.
+    A row enters the frame of every position from ``axis - after`` on and leaves it past ``axis`` plus the
+    frame's length. Summing entries less exits up to a row's own position gives its frame exactly. Frames of
+    several lengths share the entries and the pass.
     """
-    amounts, present = {}, {}
-    for n, (kind, c) in aggs.items():
+    all_aggs = {n: agg for aggs in spans.values() for n, agg in aggs.items()}
+    values = {}
+    for n, (kind, c) in all_aggs.items():
         one = F.when(c.isNotNull(), 1).otherwise(0).cast("long")
-        amounts[f"_v_{n}"] = one if kind == "count" else c
-        present[f"_n_{n}"] = one
-    values = {**amounts, **present}
-    key_cols = [F.col(k).alias(f"_k_{k}") for k in keys]
+        values[f"_v_{n}"] = one if kind == "count" else c
+        values[f"_n_{n}"] = one
     row = F.struct(*df.columns)
+    row_type = df.select(row.alias("r")).schema["r"].dataType
     kept = df.withColumns(values)
-    step = "_at", "_step", "_tie"
+    types = {v: kept.schema[v].dataType for v in values}
+    step = ["_at", "_step", "_tie"]
 
-    def event(at: Column, kind: int, sign: int, payload: bool) -> DataFrame:
+    def event(at: Column, kind: int, signs: Mapping[str, int], payload: Column) -> DataFrame:
         return kept.select(
-            *key_cols,
-            at.alias(step[0]),
-            F.lit(kind).alias(step[1]),
-            F.col(tie).alias(step[2]),
-            (row if payload else F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType)).alias("_row"),
-            *[(F.col(v) * sign if sign else F.lit(None).cast(kept.schema[v].dataType)).alias(v) for v in values],
+            *[F.col(k).alias(f"_k_{k}") for k in keys],
+            at.alias("_at"),
+            F.lit(kind).alias("_step"),
+            F.col(tie).alias("_tie"),
+            payload.cast(row_type).alias("_row"),
+            *[
+                (F.col(v) * signs[v] if v in signs else F.lit(None)).cast(t).alias(v)
+                for v, t in types.items()
+            ],
         )
 
-    enter = event(F.col(axis) - after, 0, 1, False)
-    probe = event(F.col(axis), 1, 0, True)
-    leave = event(F.col(axis) + before, 2, -1, False)
-    steps = enter.unionByName(as_types(probe, enter)).unionByName(as_types(leave, enter))
+    nothing = F.lit(None)
+    steps = event(F.col(axis) - after, 0, dict.fromkeys(values, 1), nothing).unionByName(
+        event(F.col(axis), 1, {}, row)
+    )
+    for span, aggs in spans.items():
+        out_of_frame = {v: -1 for n in aggs for v in (f"_v_{n}", f"_n_{n}")}
+        steps = steps.unionByName(event(F.col(axis) + span, 2, out_of_frame, nothing))
     sums = {f"_s{v}": ("sum", F.col(v)) for v in values}
-    done = running_hot(
-        steps, [f"_k_{k}" for k in keys], [F.col(s) for s in step], sums, 3 * chunks
-    ).filter("_step = 1")
+    order = [F.col(s) for s in step]
+    done = running_hot(steps, [f"_k_{k}" for k in keys], order, sums, (2 + len(spans)) * chunks).filter("_step = 1")
     out = []
-    for n, (kind, _) in aggs.items():
+    for n, (kind, _) in all_aggs.items():
         total, seen = F.col(f"_s_v_{n}"), F.col(f"_s_n_{n}")
-        out.append((total if kind == "count" else F.when(seen > 0, total)).alias(n))
+        out.append(F.coalesce(total, F.lit(0)).alias(n) if kind == "count" else F.when(seen > 0, total).alias(n))
     return done.select("_row.*", *out)
 
 
@@ -352,9 +358,8 @@ def _range_sums(
     plain = rest.withColumns({n: c.cast(types[n]) for n, c in out.items()})
     if hot is None:
         return plain
-    for span, aggs in spans.items():
-        hot = _range_sums_hot(hot, keys, axis, span, after, aggs, tie, chunks)
-    return plain.unionByName(as_types(hot, plain))
+    done = _range_sums_hot(hot, keys, axis, spans, after, tie, chunks)
+    return plain.unionByName(as_types(done.select(*plain.columns), plain))
 
 
 def _range_extremes(

@@ -87,6 +87,31 @@ def test_range_frames(ledger, hours):
     same(skew.over_range(ledger, ["key"], "sec", span, aggs, "id", hot_rows=HOT), plain)
 
 
+def test_frames_of_several_lengths_share_a_pass(ledger):
+    aggs = {"short": ("sum", F.col("amount")), "n": ("count", F.col("amount")), "long": ("sum", F.col("amount"))}
+    spans = {"short": 3600, "n": 3600, "long": 36000}
+    both = skew.over_range(ledger, ["key"], "sec", spans, aggs, "id")
+    for name, span in spans.items():
+        one = skew.over_range(ledger, ["key"], "sec", span, {name: aggs[name]}, "id")
+        same(both.select("id", name), one.select("id", name))
+    same(skew.over_range(ledger, ["key"], "sec", spans, aggs, "id", hot_rows=HOT), both)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_range_sums_equal_the_sliding_window(ledger):
+    frame = Window.partitionBy("key").orderBy("sec").rangeBetween(-7200, 3600)
+    want = ledger.withColumns({"s": F.sum("amount").over(frame), "n": F.count("amount").over(frame)})
+    aggs = {"s": ("sum", F.col("amount")), "n": ("count", F.col("amount"))}
+    for hot in (None, HOT):
+        same(skew.over_range(ledger, ["key"], "sec", 7200, aggs, "id", after=3600, hot_rows=hot), want)
+
+
+def test_floating_sums_are_refused(ledger):
+    with pytest.raises(ValueError):
+        skew.over_range(ledger, ["key"], "sec", 10, {"s": ("sum", F.col("amount").cast("double"))}, "id")
+
+
 @pytest.mark.parametrize("kind", ["row_number", "rank", "dense_rank"])
 @pytest.mark.parametrize("descending", [False, True])
 def test_ranks(ledger, kind, descending):
