@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankops.functions.columns import money, share
-from bankops.operators.skew import same_keys
-from bankops.session import durable
+from bankops.operators.skew import find_hot, part_by, same_keys
 
 _REDUCE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -52,11 +51,12 @@ def salted_agg(
 
 
 def hot_key_split(df: DataFrame, key: str, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys above ``threshold`` rows, all other rows). At most N / threshold keys are heavy."""
-    counts = df.groupBy(F.col(key).alias(f"_hot_{key}")).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = durable(counts.filter(F.col("_rows") > threshold).drop("_rows"))
-    on = same_keys(df, hot, [key], "_hot_")
-    return df.join(hot, on, "left_semi"), df.join(hot, on, "left_anti")
+    """(rows of keys above ``threshold`` rows, all other rows)."""
+    names, _ = find_hot(df, [key], threshold)
+    if names is None:
+        return df.limit(0), df
+    rest, hot = part_by(df, names, [key])
+    return hot, rest
 
 
 def target_encode_fit(train: DataFrame, col: str, label: str, k: float = 0.0) -> DataFrame:

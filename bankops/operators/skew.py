@@ -65,17 +65,8 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return reduce(lambda a, b: a & b, pairs)
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """(ordinary rows, rows of heavy keys or None, number of chunks for the latter).
-
-    A key is heavy above ``hot_rows`` rows, so there are at most N / hot_rows of them. An input that
-    fits one task is not searched at all.
-    """
-    limit = hot_limit(df, hot_rows)
-    if fits_one_task(df, limit):
-        return df, None, 0
+def find_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame | None, int]:
+    """(keys above ``limit`` rows or None, rows they hold). There are at most N / limit such keys."""
     found = (
         df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
         .agg(F.count(F.lit(1)).alias("_hot_rows"))
@@ -84,12 +75,31 @@ def split_hot(
     found = durable(found)
     n_keys, n_rows = found.agg(F.count(F.lit(1)), F.sum("_hot_rows")).first()
     if not n_keys:
-        return df, None, 0
+        return None, 0
     names = found.drop("_hot_rows")
-    if n_keys <= BROADCAST_ROWS:
-        names = F.broadcast(names)
+    return (F.broadcast(names) if n_keys <= BROADCAST_ROWS else names), n_rows
+
+
+def part_by(df: DataFrame, names: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of the listed keys)."""
     on = same_keys(df, names, keys, "_hot_")
-    return df.join(names, on, "left_anti"), df.join(names, on, "left_semi"), ceil(n_rows / limit)
+    return df.join(names, on, "left_anti"), df.join(names, on, "left_semi")
+
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """(ordinary rows, rows of heavy keys or None, number of chunks for the latter).
+
+    An input that fits one task is not searched at all.
+    """
+    limit = hot_limit(df, hot_rows)
+    if fits_one_task(df, limit):
+        return df, None, 0
+    names, n_rows = find_hot(df, keys, limit)
+    if names is None:
+        return df, None, 0
+    return *part_by(df, names, keys), ceil(n_rows / limit)
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunks: int) -> DataFrame:

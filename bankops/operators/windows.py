@@ -77,23 +77,23 @@ def rolling(
     if (rows is None) == (days is None):
         raise ValueError("give exactly one of rows and days")
     value = F.col(value) if isinstance(value, str) else value
-    if fn == "avg":  # exact sum over count, so that the mean does not depend on summing order
-        kept = df.columns
-        for part in ("sum", "count"):
-            df = rolling(df, key, ts, value, part, tie, f"_{part}", rows, days, hot_rows)
-        return df.select(*kept, share(F.col("_sum"), F.col("_count")).alias(name))
+    # a mean is an exact sum over a count, so it does not depend on the summing order
+    parts = {"_sum": ("sum", value), "_count": ("count", value)} if fn == "avg" else {name: (fn, value)}
     if rows is not None:
-        apply = _ROW_FUNCTIONS[fn]
-        return over_rows(
+        out = over_rows(
             df,
             as_list(key),
             [F.col(ts), F.col(tie)],
             rows - 1,
             0,
-            lambda w: {name: apply(value).over(w.rowsBetween(1 - rows, 0))},
+            lambda w: {n: _ROW_FUNCTIONS[f](c).over(w.rowsBetween(1 - rows, 0)) for n, (f, c) in parts.items()},
             hot_rows,
         )
-    return over_days(df, key, ts, days, {name: (fn, value)}, tie, hot_rows)
+    else:
+        out = over_days(df, key, ts, days, parts, tie, hot_rows)
+    if fn != "avg":
+        return out
+    return out.select(*df.columns, share(F.col("_sum"), F.col("_count")).alias(name))
 
 
 def night_count(
