@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -157,7 +158,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     """Upsert into a Parquet folder.
 
     With a partition column only the partitions are rewritten that the source writes to or takes a key from;
-    a partition left without rows is removed. Everything is computed before the first file changes.
+    a partition left without rows is removed. Everything is computed before the first file changes. Very many
+    partitions, or values that folder names escape, lead to a rewrite of the whole table.
     """
     parts = [partition_by] if partition_by else []
     if not path_exists(spark, path):
@@ -168,7 +170,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         old = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi")
         touched = old.select(partition_by).union(source.select(partition_by)).distinct()
         values = [r[0] for r in touched.limit(TOUCHED_PARTITIONS + 1).collect()]
-        if len(values) <= TOUCHED_PARTITIONS and None not in values:
+        # other characters are escaped in folder names
+        plain = all(v is not None and re.fullmatch(r"[\w.-]+", str(v)) for v in values)
+        if len(values) <= TOUCHED_PARTITIONS and plain:
             affected = target.filter(F.col(partition_by).isin(values))
             result = durable(upsert(affected, source, keys))
             left = {r[0] for r in result.select(partition_by).distinct().collect()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,52 +14,70 @@ from bankops.operators.skew import running
 from bankops.sources.files import path_exists, read_source, write_sink
 
 
-def point_in_time(
+@dataclass(frozen=True)
+class FeatureSet:
+    """Feature rows with the columns to take from them.
+
+    ``tie`` decides between rows of equal time: the greatest wins.
+    """
+
+    rows: DataFrame
+    cols: Sequence[str]
+    ts: str
+    tie: str
+
+
+def training_set(
     labels: DataFrame,
-    features: DataFrame,
+    sets: Sequence[FeatureSet],
     keys: Sequence[str],
     event_ts: str,
-    feature_ts: str,
-    feature_cols: Sequence[str],
     tie: str,
-    feature_tie: str | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Every label row with the features known at its time; NULLs where none were.
 
-    Both sides are stacked and sorted once per key and the last feature row is carried down, so the work is
-    linear in the rows however many label and feature rows a key has. ``tie`` tells label rows apart and
-    ``feature_tie`` feature rows of equal time, of which the greatest wins; both have one type.
+    Labels and all feature sets are stacked, sorted once per key, and each set's last row is carried down. The
+    work is linear in the rows however many a key has, and one shuffle serves all sets. ``tie`` tells label rows
+    apart; all ties have one type.
     """
-    known = features.select(
-        *keys,
-        F.col(feature_ts).alias("_at"),
-        F.lit(0).alias("_label"),
-        F.col(feature_tie or tie).alias("_tie"),
-        F.struct(*feature_cols).alias("_known"),
-    )
-    asked = labels.select(
+    both = labels.select(
         *keys,
         F.col(event_ts).alias("_at"),
         F.lit(1).alias("_label"),
         F.col(tie).alias("_tie"),
         F.struct(*labels.columns).alias("_row"),
     )
-    both = asked.unionByName(known, allowMissingColumns=True)
+    for i, s in enumerate(sets):
+        known = s.rows.select(
+            *keys,
+            F.col(s.ts).alias("_at"),
+            F.lit(0).alias("_label"),
+            F.col(s.tie).alias("_tie"),
+            F.struct(*s.cols).alias(f"_known_{i}"),
+        )
+        both = both.unionByName(known, allowMissingColumns=True)
     order = [F.col("_at"), F.col("_label"), F.col("_tie")]
-    out = running(both, keys, order, {"_last": ("last", F.col("_known"))}, hot_rows)
-    return out.filter("_label = 1").select("_row.*", *[F.col(f"_last.{c}").alias(c) for c in feature_cols])
+    last = {f"_last_{i}": ("last", F.col(f"_known_{i}")) for i in range(len(sets))}
+    out = running(both, keys, order, last, hot_rows)
+    taken = [F.col(f"_last_{i}.{c}").alias(c) for i, s in enumerate(sets) for c in s.cols]
+    return out.filter("_label = 1").select("_row.*", *taken)
 
 
-def training_set(
-    labels: DataFrame, feature_sets: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str],
-    event_ts: str, feature_ts: str, tie: str, hot_rows: int | None = None,
+def point_in_time(
+    labels: DataFrame,
+    features: DataFrame,
+    keys: Sequence[str],
+    event_ts: str,
+    feature_ts: str,
+    feature_cols: Sequence[str],
+    tie: str,
+    feature_tie: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Label rows with the columns of several feature tables, each as of the label's time."""
-    out = labels
-    for features, cols in feature_sets:
-        out = point_in_time(out, features, keys, event_ts, feature_ts, cols, tie, hot_rows=hot_rows)
-    return out
+    """``training_set`` with a single feature set."""
+    known = FeatureSet(features, feature_cols, feature_ts, feature_tie or tie)
+    return training_set(labels, [known], keys, event_ts, tie, hot_rows)
 
 
 def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "merge") -> None:

@@ -16,6 +16,7 @@ from bankops.operators.aggregates import (
     target_encode_fit,
 )
 from bankops.operators.point_in_time import (
+    FeatureSet,
     lookup_features,
     point_in_time,
     read_features,
@@ -301,8 +302,8 @@ def training_set_query(t):
     labels = kind_of(t, "purchase").select("event_id", "user_id", "ts")
     views = kind_of(t, "view").select("event_id", "user_id", "ts", F.col("value").alias("last_view"))
     clicks = kind_of(t, "click").select("event_id", "user_id", "ts", F.col("value").alias("last_click"))
-    sets = [(views, ["last_view"]), (clicks, ["last_click"])]
-    return training_set(labels, sets, ["user_id"], "ts", "ts", "event_id").select("event_id", "user_id", "last_view", "last_click")
+    sets = [FeatureSet(views, ["last_view"], "ts", "event_id"), FeatureSet(clicks, ["last_click"], "ts", "event_id")]
+    return training_set(labels, sets, ["user_id"], "ts", "event_id").select("event_id", "user_id", "last_view", "last_click")
 
 
 def weekly(t):

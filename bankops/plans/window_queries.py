@@ -212,14 +212,19 @@ def feat_hourly_freq(t):
     return fx.hourly_frequency(rows(t), KEY, TS)
 
 
+# whole microseconds, so that the mean is the same number in any summing order
+GAP_MICROS = f"epoch_us(ts) - lag(epoch_us(ts)) OVER ({ORDERED})"
+
+
 @query(
     "feat_gap_stats",
-    f"""SELECT event_id, round(avg(g) OVER w, 4) AS gap_avg, round(stddev_samp(g) OVER w, 4) AS gap_std FROM (
-        SELECT *, {GAP} AS g FROM events) WINDOW w AS ({D7})""",
+    f"""SELECT event_id, CAST(sum(g) OVER w AS DOUBLE) / nullif(count(g) OVER w, 0) / 1000000 AS gap_avg,
+        round(stddev_samp(g / 1000000) OVER w, 4) AS gap_std FROM (
+        SELECT *, {GAP_MICROS} AS g FROM events) WINDOW w AS ({D7})""",
 )
 def feat_gap_stats(t):
     out = fx.gap_stats(rows(t), KEY, TS, 7, TIE)
-    return out.select("event_id", F.round("gap_avg", 4).alias("gap_avg"), F.round("gap_std", 4).alias("gap_std"))
+    return out.select("event_id", "gap_avg", F.round("gap_std", 4).alias("gap_std"))
 
 
 @query(
