@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bankops.functions.columns import fingerprint
 from bankops.operators.relational import drop_known, latest_per_key
 from bankops.operators.skew import running
-from bankops.session import durable
+from bankops.session import stored
 from bankops.sources.files import path_exists, read_source, remove_path, write_sink
 
 # Texts and names that stored logs carry.
@@ -174,7 +174,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         plain = all(v is not None and re.fullmatch(r"[\w.-]+", str(v)) for v in values)
         if len(values) <= TOUCHED_PARTITIONS and plain:
             affected = target.filter(F.col(partition_by).isin(values))
-            result = durable(upsert(affected, source, keys))
+            result = stored(upsert(affected, source, keys))
             left = {r[0] for r in result.select(partition_by).distinct().collect()}
             gathered = result.hint("rebalance", F.col(partition_by))
             gathered.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)

@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankops.session import BROADCAST_ROWS, durable, estimated_bytes
+from bankops.session import BROADCAST_ROWS, durable, estimated_bytes, stored
 
 HOT_ROWS_CONF = "spark.bankops.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
@@ -108,7 +108,7 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], c
     Range bounds come from a sample, so the result is written down once before it is read twice.
     """
     ranged = df.repartitionByRange(max(chunks, 2), *[F.col(k) for k in keys], *order)
-    return durable(ranged.withColumn("_chunk", F.spark_partition_id()))
+    return stored(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
 def running_hot(
@@ -182,8 +182,14 @@ def running(
 
 
 def as_types(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Cast columns to the types of ``like`` (summed sums widen decimals)."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema])
+    """Columns in the order and types of ``like`` (summed sums widen decimals); nullability is left alone."""
+    own = {f.name: f.dataType.simpleString() for f in df.schema}
+    return df.select(
+        *[
+            F.col(f.name) if own[f.name] == f.dataType.simpleString() else F.col(f.name).cast(f.dataType)
+            for f in like.schema
+        ]
+    )
 
 
 def over_rows_hot(

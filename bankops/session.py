@@ -51,11 +51,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and cut its lineage there."""
+    """Checkpoint the frame in the shared folder and cut its lineage there; for small frames."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write the frame as Parquet in the shared folder and read it back; for large frames.
+
+    Unlike a checkpoint it is compressed, and each later use reads only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the frame; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
