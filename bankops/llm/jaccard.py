@@ -41,7 +41,7 @@ FREQUENT = 64  # times over all batches that put it on the list
 MOST_FREQUENT = 500_000  # longest list (4 MB); shorter lists cost time, not results
 MOST_SHOWN_BY = 48  # classes; an n-gram shown by more gives ties to one class, not pairs
 BLOCK_ROWS = 256
-BLOCK_BYTES = 8 << 20  # of text whose n-grams go to one block, on average
+BLOCK_BYTES = 4 << 20  # of text whose n-grams go to one block, on average
 COLUMNS = 4096
 
 

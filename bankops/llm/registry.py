@@ -14,11 +14,13 @@ import bankops
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 _shipped: set[str] = set()
+ARROW_BYTES = "16m"  # of an Arrow batch; a task holds one or two beside what it makes of them
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, as ``--py-files`` would; once for an application."""
+    """Give executors this package, as ``--py-files`` would, and bound Arrow batches; once for an application."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     if sc.applicationId in _shipped:
         return
     root = Path(bankops.__file__).parent
