@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, jaccard, packing, token_counts
+from bankops.llm import binary_ids, jaccard, packing, quality, token_counts
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -31,3 +31,8 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, folder, "documents"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(read(spark, folder, "documents"))
