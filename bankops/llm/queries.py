@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, jaccard, packing, quality, token_counts
+from bankops.llm import binary_ids, decontamination, jaccard, language, packing, quality, token_counts
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -36,3 +36,13 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality")
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read(spark, folder, "documents"))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read(spark, folder, "documents"))
