@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, decontamination, jaccard, language, packing, quality, token_counts
+from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, quality, sharding, token_counts
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -46,3 +46,15 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"))
+
+
+@query("op1_shuffle_shards")
+def op1_shuffle_shards(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(read(spark, folder, "documents"), path)
+    return sharding.digest(spark, path)
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(read(spark, folder, "documents"))
