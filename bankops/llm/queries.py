@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, quality, sharding, token_counts
+from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, pii, quality, sharding, token_counts
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -58,3 +58,8 @@ def op1_shuffle_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_license_scan")
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(read(spark, folder, "documents"))
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_report(read(spark, folder, "documents"))
