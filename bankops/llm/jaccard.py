@@ -11,7 +11,8 @@ that many documents share are shown only by documents made of little else.
 3. Each block counts, for pairs of classes, the n-grams shown by both. An n-gram shown by very many classes gives no pairs
    but ties its classes to the smallest one.
 4. The counts of a pair are added up over the blocks. A pair is discarded when its count and all it could still share beyond
-   what is shown stay below the overlap its sizes demand.
+   what both show stay below the overlap its sizes demand. Each document says how many of its n-grams come before some
+   places of the order, so what is left beyond such a place is known for both.
 5. What is left falls into groups. The whole sets of a group meet in a task, and overlaps are counted by products of
    blocks of the matrix, exactly. Groups beyond a block are compared with some of their members first; after that only classes
    outside the largest component are compared with the rest, block by block, so a large group of copies costs its size.
@@ -41,6 +42,8 @@ FREQUENT = 64  # times over all batches that put it on the list
 MOST_FREQUENT = 500_000  # longest list (4 MB); shorter lists cost time, not results
 MOST_SHOWN_BY = 48  # classes; an n-gram shown by more gives ties to one class, not pairs
 BLOCK_ROWS = 256
+# parts of the order, in 64ths, up to which each document says how many n-grams it has
+GRID = [*range(1, 25), *range(28, 65, 4)]
 BLOCK_BYTES = 4 << 20  # of text whose n-grams go to one block, on average
 COLUMNS = 4096
 
@@ -105,26 +108,33 @@ def _often(words: int):
 
 
 def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
-    """Rows for documents (block null, its set's hash, size, frequent ones shown), and packed codes for blocks."""
+    """Rows for documents (set's hash, size, how far all is shown, n-grams before the places of GRID), and packed codes."""
 
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = HashTable()
         frequent.add(listed, np.arange(len(listed), dtype=np.int32))
-        names = ["block", "doc_id", "a", "n", "shown", "packed"]
+        names = ["block", "doc_id", "a", "n", "shown", "before", "packed"]
         for batch in batches:
             codes_held, sums_held = [], []
             for lo, hi, data, offs in text_slices(batch.column(1)):
                 codes, row = distinct_sets(*ngrams(data, offs, words), frequent)
                 size, start, sums = set_sums(codes, row, hi - lo)
                 show = size - -(-percent * size // 100) + 1
+                n = hi - lo
+                part = np.minimum(codes >> U(54), U(64)).astype(np.int64)
+                before = np.cumsum(np.bincount(row * 65 + part, minlength=65 * n).reshape(n, 65), axis=1)
+                before = np.ascontiguousarray(before[:, [g - 1 for g in GRID]].astype(np.int32))
+                last = np.zeros(n, np.int64)
+                last[size > 0] = part[(start + show - 1)[size > 0]]
                 keep = np.arange(len(codes)) - start[row] < show[row]
                 codes, row = codes[keep], row[keep]
-                often = (codes >> U(60)).astype(np.int64)
-                n = hi - lo
                 out = [
                     pa.array(np.mod(sums, blocks).astype(np.int32)), batch.column(0).slice(lo, n), pa.array(sums),
                     pa.array(size.astype(np.int32)),
-                    pa.array(np.bincount(row, weights=often, minlength=n).astype(np.int32)),
+                    pa.array(last.astype(np.int32)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(n + 1, dtype=np.int32) * len(GRID)), pa.array(before.ravel())
+                    ),
                     pa.nulls(n, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(out, names)
@@ -157,7 +167,7 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
             m = blocks + 1
             out = [
                 pa.array(number.astype(np.int32)), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int64()),
-                pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.array(packed, pa.binary()),
+                pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32())), pa.array(packed, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(out, names)
 
@@ -192,7 +202,7 @@ def _pairs_of(code: np.ndarray, sums: np.ndarray, flag: np.ndarray) -> tuple[np.
 
 def _count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as they are; of each block the pairs with counts, and ties with count 0."""
-    names = ["kind", "doc_id", "a", "b", "n", "shown"]
+    names = ["kind", "doc_id", "a", "b", "n", "shown", "before"]
     held: dict[int, list[bytes]] = {}
     kind = None
     for batch in batches:
@@ -200,7 +210,7 @@ def _count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_doc = batch.column("packed").is_null()
         docs = batch.filter(is_doc)
         if docs.num_rows:
-            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("shown")]
+            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("shown"), docs.column("before")]
             yield pa.RecordBatch.from_arrays(out, names)
         packed = batch.filter(pa.compute.invert(is_doc))
         for number, blob in zip(packed.column("block").to_pylist(), packed.column("packed").to_pylist()):
@@ -208,7 +218,7 @@ def _count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(word: str, pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         m = len(pairs)
-        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int32())]
+        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(out, names)
 
     for number, blobs in held.items():
@@ -273,7 +283,7 @@ def _verify(words: int, percent: int):
         codes, row = np.concatenate(codes), np.concatenate(row)
         first = np.searchsorted(row, np.arange(len(sums) + 1))
         found_a, found_b = [], []
-        order = np.lexsort((sums, grp))
+        order = np.lexsort((~side, sums, grp))
         cuts = np.flatnonzero(np.append(True, grp[order][1:] != grp[order][:-1]))
         for lo, hi in zip(cuts, np.append(cuts[1:], len(order))):
             at = order[lo:hi]
@@ -323,29 +333,35 @@ def jaccard_components(
 
     packed = T.StructType([
         T.StructField("block", T.IntegerType()), T.StructField("doc_id", id_type), T.StructField("a", T.LongType()),
-        T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()), T.StructField("packed", T.BinaryType()),
+        T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
+        T.StructField("before", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType()),
     ])
     counted = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("doc_id", id_type), T.StructField("a", T.LongType()),
         T.StructField("b", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
+        T.StructField("before", T.ArrayType(T.IntegerType())),
     ])
     shown = rows.mapInArrow(_shown(words, percent, blocks, listed), packed)
     found = stored(shown.repartition(blocks, "block").mapInArrow(_count_block, counted))
 
-    sets = found.where("kind = 'doc'").select("doc_id", "a", "n", "shown")
-    classes = sets.where("doc_id is not null and n > 0").groupBy("a")
-    classes = stored(classes.agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.max("shown").alias("shown")))
+    sets = found.where("kind = 'doc'").select("doc_id", "a", "n")
+    classes = found.where("kind = 'doc' and doc_id is not null and n > 0").groupBy("a")
+    largest = [F.max(c).alias(c) for c in ("n", "shown", "before")]  # equal in a class
+    classes = stored(classes.agg(F.min("doc_id").alias("first_id"), *largest))
 
     # discard pairs that cannot reach the overlap their sizes demand
     p = F.lit(percent)
     pairs = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("both"))
-    of = classes.select("a", "n", "shown")
-    pairs = pairs.join(of.withColumnsRenamed({"n": "na", "shown": "sa"}), "a")
-    pairs = pairs.join(of.withColumnsRenamed({"a": "b", "n": "nb", "shown": "sb"}), "b")
-    hidden = F.ceil(p * F.greatest("na", "nb") / 100) - 1
+    of = classes.select("a", "n", "shown", "before")
+    pairs = pairs.join(of.withColumnsRenamed({"n": "na", "shown": "sa", "before": "ra"}), "a")
+    pairs = pairs.join(of.withColumnsRenamed({"a": "b", "n": "nb", "shown": "sb", "before": "rb"}), "b")
+    # the last place of the grid up to which both show all they have
+    up_to = F.least("sa", "sb")
+    place = F.size(F.filter(F.array(*map(F.lit, GRID)), lambda g: g <= up_to))
+    after = lambda n, r: F.col(n) - F.when(place > 0, F.get(r, place - 1)).otherwise(0)
     pairs = pairs.where(
         (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p)
-        & ((F.col("both") + F.least("sa", "sb") + hidden) * (100 + p) >= (F.col("na") + F.col("nb")) * p)
+        & ((F.col("both") + F.least(after("na", "ra"), after("nb", "rb"))) * (100 + p) >= (F.col("na") + F.col("nb")) * p)
     )
     ties = found.where("kind = 'tie'").select("a", "b")
     groups = components(pairs.select("a", "b").union(ties))
@@ -382,9 +398,9 @@ def jaccard_components(
         asking = state.where("rest").withColumn("j", F.explode(F.sequence(F.lit(0), F.ceil(F.col("members") / BLOCK_ROWS).cast("int") - 1)))
         asking = asking.select("grp", "a", "text", F.lit(True).alias("side"), F.col("piece").alias("i"), "j")
         answering = state.join(left, "grp").select("grp", "a", "text", F.lit(False).alias("side"), "i", F.col("piece").alias("j"))
-        both = asking.union(answering).withColumn("task", F.concat_ws(":", "grp", "i", "j"))
-        more = both.groupBy("task", "a").agg(F.max("grp").alias("grp"), F.max("text").alias("text"), F.max("side").alias("side"))
-        more = more.select("grp", "a", "text", "side", "task").groupBy("task").applyInArrow(verify, "a long, b long")
+        # a class may both ask and answer in a task; there the asking row counts
+        both = asking.union(answering).select("grp", "a", "text", "side", F.concat_ws(":", "grp", "i", "j").alias("task"))
+        more = both.groupBy("task").applyInArrow(verify, "a long, b long")
         edges = stored(edges.union(more))
 
     linked = components(edges).withColumnsRenamed({"node": "a"})

@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# the system's allocator gives the memory of a finished batch back; Arrow's own keeps it in each worker
+pa.set_memory_pool(pa.system_memory_pool())
+
 CHUNK_BYTES = 2 << 20
 LONG_RUN = 4096
 
