@@ -24,6 +24,7 @@ copies (expected number: documents squared over 2^65).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -115,7 +116,7 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
         frequent.add(listed, np.arange(len(listed), dtype=np.int32))
         names = ["block", "doc_id", "a", "n", "shown", "before", "packed"]
         for batch in batches:
-            codes_held, sums_held = [], []
+            codes_held, sums_held, size_held = [], [], []
             for lo, hi, data, offs in text_slices(batch.column(1)):
                 codes, row = distinct_sets(*ngrams(data, offs, words), frequent)
                 size, start, sums = set_sums(codes, row, hi - lo)
@@ -140,27 +141,28 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
                 yield pa.RecordBatch.from_arrays(out, names)
                 codes_held.append(codes)
                 sums_held.append(sums[row])
+                size_held.append(size[row].astype(np.uint32))
             if not codes_held:
                 continue
-            codes, sums = np.concatenate(codes_held), np.concatenate(sums_held)
+            codes, sums, sizes = np.concatenate(codes_held), np.concatenate(sums_held), np.concatenate(size_held)
             # of the classes that show a frequent n-gram in this batch only the smallest goes on; the others are tied to it
             order = np.lexsort((sums, codes))
-            codes, sums = codes[order], sums[order]
+            codes, sums, sizes = codes[order], sums[order], sizes[order]
             new = np.append(True, (codes[1:] != codes[:-1]) | (sums[1:] != sums[:-1])) if len(codes) else np.zeros(0, bool)
-            codes, sums = codes[new], sums[new]
+            codes, sums, sizes = codes[new], sums[new], sizes[new]
             first = np.append(True, codes[1:] != codes[:-1]) if len(codes) else np.zeros(0, bool)
             lead = sums[np.maximum.accumulate(np.where(first, np.arange(len(codes)), 0))]
             tie = (codes >> U(60) > 0) & ~first
             pairs = np.unique(np.stack([sums[tie], lead[tie]], axis=1), axis=0)
-            codes, sums = codes[~tie], sums[~tie]
+            codes, sums, sizes = codes[~tie], sums[~tie], sizes[~tie]
             where = (codes % U(blocks)).astype(np.int64)
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(blocks + 1))
             rest = (codes // U(blocks)).astype(np.uint32)[order]  # 32 bits more tell codes of a block apart
             flag = (codes >> U(60)).astype(np.uint8)[order]
-            sums = sums[order]
+            sums, sizes = sums[order], sizes[order]
             packed = [
-                rest[i:j].tobytes() + sums[i:j].tobytes() + flag[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])
+                b"".join(x[i:j].tobytes() for x in (rest, sums, sizes, flag)) for i, j in zip(edges[:-1], edges[1:])
             ]
             packed.append(pairs.astype("<i8").tobytes())
             number = np.append(np.arange(blocks), -1 - int(codes[0] % U(blocks)) if len(codes) else -1)
@@ -174,12 +176,14 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
     return shown
 
 
-def _pairs_of(code: np.ndarray, sums: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs with the number of n-grams both show, ties) of one block."""
+def _pairs_of(
+    code: np.ndarray, sums: np.ndarray, sizes: np.ndarray, flag: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, of sizes that can link, with the number of n-grams both show, ties) of one block."""
     order = np.lexsort((sums, code))
-    code, sums, flag = code[order], sums[order], flag[order]
+    code, sums, sizes, flag = code[order], sums[order], sizes[order].astype(np.int64), flag[order]
     new = np.append(True, (code[1:] != code[:-1]) | (sums[1:] != sums[:-1])) if len(code) else np.zeros(0, bool)
-    code, sums, flag = code[new], sums[new], flag[new]
+    code, sums, sizes, flag = code[new], sums[new], sizes[new], flag[new]
     edge = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
     size = np.diff(np.append(edge, len(code)))
     hot = (size > MOST_SHOWN_BY) | (np.maximum.reduceat(flag, edge) > 0 if len(edge) else False)
@@ -194,13 +198,15 @@ def _pairs_of(code: np.ndarray, sums: np.ndarray, flag: np.ndarray) -> tuple[np.
         i = i[(i + k < end[i]) & ~hot[run[i]]]
         if not len(i):
             break
+        a, b = sizes[i], sizes[i + k]
+        i = i[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
         found.append(np.stack([sums[i], sums[i + k]], axis=1))
     pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     pairs, n = np.unique(pairs, axis=0, return_counts=True)
     return np.column_stack([pairs, n]), ties
 
 
-def _count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as they are; of each block the pairs with counts, and ties with count 0."""
     names = ["kind", "doc_id", "a", "b", "n", "shown", "before"]
     held: dict[int, list[bytes]] = {}
@@ -227,11 +233,12 @@ def _count_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ties = np.frombuffer(blob, "<i8").reshape(-1, 2)
                 yield rows("tie", ties, np.zeros(len(ties)))
             continue
-        size = [len(x) // 13 for x in blobs]
+        size = [len(x) // 17 for x in blobs]
         code = np.concatenate([np.frombuffer(x, np.uint32, m) for x, m in zip(blobs, size)])
         sums = np.concatenate([np.frombuffer(x, np.int64, m, 4 * m) for x, m in zip(blobs, size)])
-        flag = np.concatenate([np.frombuffer(x, np.uint8, m, 12 * m) for x, m in zip(blobs, size)])
-        pairs, ties = _pairs_of(code, sums, flag)
+        sizes = np.concatenate([np.frombuffer(x, np.uint32, m, 12 * m) for x, m in zip(blobs, size)])
+        flag = np.concatenate([np.frombuffer(x, np.uint8, m, 16 * m) for x, m in zip(blobs, size)])
+        pairs, ties = _pairs_of(code, sums, sizes, flag, percent)
         yield rows("pair", pairs[:, :2], pairs[:, 2])
         yield rows("tie", ties, np.zeros(len(ties)))
 
@@ -342,7 +349,7 @@ def jaccard_components(
         T.StructField("before", T.ArrayType(T.IntegerType())),
     ])
     shown = rows.mapInArrow(_shown(words, percent, blocks, listed), packed)
-    found = stored(shown.repartition(blocks, "block").mapInArrow(_count_block, counted))
+    found = stored(shown.repartition(blocks, "block").mapInArrow(partial(_count_block, percent), counted))
 
     sets = found.where("kind = 'doc'").select("doc_id", "a", "n")
     classes = found.where("kind = 'doc' and doc_id is not null and n > 0").groupBy("a")
