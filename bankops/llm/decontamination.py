@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, rows_of, runs, spread, table, text_slices, window_hashes
 
@@ -195,7 +196,7 @@ def find_leaks(
         def hits(batches: Iterator[pa.RecordBatch], ids=ids, items=items) -> Iterator[pa.RecordBatch]:
             found, names = items.lookup(), None
             for batch in batches:
-                names = names if names is not None else pa.array(ids)
+                names = names if names is not None else pa.array(ids, to_arrow_type(item_type))
                 for lo, hi, data, offs in text_slices(batch.column(1)):
                     x = items.hits(found, data, offs, least)
                     rest = [pa.array(x[k]) for k in ("start", "end", "score", "seeds")]
