@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -157,34 +156,47 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str | None = None) -> None:
     """Upsert into a Parquet folder.
 
+    Source and table must have the same columns, and the source one row for each key; otherwise it raises and changes nothing.
     With a partition column only the partitions are rewritten that the source writes to or takes a key from;
-    a partition left without rows is removed. Everything is computed before the first file changes. Very many
-    partitions, or values that folder names escape, lead to a rewrite of the whole table.
+    a partition left without rows is removed. Everything is computed before the first file changes. A source that touches
+    more than TOUCHED_PARTITIONS partitions leads to a rewrite of the whole table.
     """
+    if not source.groupBy(*keys).count().where("count > 1").limit(1).isEmpty():
+        raise ValueError(f"the source has several rows for one key {list(keys)}")
     parts = [partition_by] if partition_by else []
     if not path_exists(spark, path):
         write_sink(source, path, partition_by=parts)
         return
+    held = spark.read.parquet(path).columns
+    if set(held) != set(source.columns):
+        raise ValueError(f"the table has columns {sorted(held)}, the source {sorted(source.columns)}")
     target = read_source(spark, path, schema=source.schema)
     if partition_by:
         old = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi")
         touched = old.select(partition_by).union(source.select(partition_by)).distinct()
         values = [r[0] for r in touched.limit(TOUCHED_PARTITIONS + 1).collect()]
-        # other characters are escaped in folder names
-        plain = all(v is not None and re.fullmatch(r"[\w.-]+", str(v)) for v in values)
-        if len(values) <= TOUCHED_PARTITIONS and plain:
-            affected = target.filter(F.col(partition_by).isin(values))
+        if len(values) <= TOUCHED_PARTITIONS:
+            known = [v for v in values if v is not None]
+            wanted = F.col(partition_by).isin(known)
+            affected = target.filter(wanted | F.col(partition_by).isNull() if None in values else wanted)
             result = stored(upsert(affected, source, keys))
             left = {r[0] for r in result.select(partition_by).distinct().collect()}
             gathered = result.hint("rebalance", F.col(partition_by))
             gathered.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
             for gone in set(values) - left:
-                remove_path(spark, f"{path.rstrip('/')}/{partition_by}={gone}")
+                remove_path(spark, f"{path.rstrip('/')}/{partition_by}={folder_value(spark, gone)}")
             spark.catalog.refreshByPath(path)
             return
     write_sink(upsert(target, source, keys), path, mode="overwrite", partition_by=parts)
 
 
+def folder_value(spark: SparkSession, value) -> str:
+    """A partition value as Spark writes it in a folder name: special characters escaped, null by its stand-in."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+
+
 def check_batch(
     source: DataFrame, target: DataFrame | None, key: str, rules: Sequence[Rule], hash_cols: Sequence[str],
     reject_repeated: bool = False,

@@ -19,14 +19,12 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankops.session import BROADCAST_ROWS, durable, estimated_bytes, stored
+from bankops.session import BROADCAST_ROWS, durable, stored
 
 HOT_ROWS_CONF = "spark.bankops.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
 # Spark moves a sliding frame by reading it anew for each row, which is quadratic in busy keys.
 SLIDING_ROWS = 20_000
-# A row of the size estimate takes at least this much.
-ROW_BYTES = 16
 
 # name -> (kind, input column); kinds are listed in _LOCAL
 Aggs = dict[str, tuple[str, Column]]
@@ -55,8 +53,12 @@ def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
 
 
 def fits_one_task(df: DataFrame, limit: int) -> bool:
-    """Whether the whole input is surely below ``limit`` rows, by Spark's size estimate; runs no job."""
-    return estimated_bytes(df) < limit * ROW_BYTES
+    """Whether the whole input has at most ``limit`` rows by a bound that Spark's plan proves; runs no job.
+
+    A size estimate will not do: compressed files hold any number of rows.
+    """
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return most.isDefined() and most.get() <= limit
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:

@@ -231,3 +231,25 @@ def test_file_count_follows_coalesce(spark, tmp_path):
     path = str(tmp_path / "c")
     write_sink(layout.fewer_files(spark.range(100, numPartitions=8), 3), path)
     assert len(glob.glob(f"{path}/*.parquet")) == 3
+
+
+def test_upsert_refuses_other_columns_and_doubled_keys(spark, tmp_path):
+    path = str(tmp_path / "strict")
+    spark.createDataFrame([(1, "a b", 10, 5)], "id int, p string, v int, extra int").write.partitionBy("p").parquet(path)
+    with pytest.raises(ValueError):
+        ld.upsert_table(spark, path, spark.createDataFrame([(1, "a b", 11)], "id int, p string, v int"), ["id"], "p")
+    twice = spark.createDataFrame([(1, "a b", 11, 6), (1, "a b", 12, 6)], "id int, p string, v int, extra int")
+    with pytest.raises(ValueError):
+        ld.upsert_table(spark, path, twice, ["id"], "p")
+    assert [tuple(r) for r in spark.read.parquet(path).select("id", "v", "extra").collect()] == [(1, 10, 5)]
+
+
+def test_upsert_with_spaces_rewrites_only_touched_partitions(spark, tmp_path):
+    path = tmp_path / "spaces"
+    rows = spark.createDataFrame([(1, "a b", 10), (2, "c d", 20)], "id int, p string, v int")
+    rows.write.partitionBy("p").parquet(str(path))
+    before = sorted(f.name for f in (path / "p=c d").iterdir() if f.name.endswith(".parquet"))
+    ld.upsert_table(spark, str(path), spark.createDataFrame([(1, "e f", 11)], "id int, p string, v int"), ["id"], "p")
+    assert sorted(f.name for f in (path / "p=c d").iterdir() if f.name.endswith(".parquet")) == before
+    assert not (path / "p=a b").exists()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(path)).select("id", "p", "v").collect()) == [(1, "e f", 11), (2, "c d", 20)]
