@@ -39,9 +39,9 @@ from bankops.session import stored
 WORDS = 5
 PERCENT = 75
 SEEN_OFTEN = 2  # times in one batch that make an n-gram a candidate for the list of frequent ones
-FREQUENT = 32  # times over all batches that put it on the list
+FREQUENT = 16  # times over all batches that put it on the list
 MOST_FREQUENT = 500_000  # longest list (4 MB); shorter lists cost time, not results
-MOST_SHOWN_BY = 64  # classes; an n-gram shown by more gives ties to one class, not pairs
+MOST_SHOWN_BY = 32  # classes; an n-gram shown by more gives ties to one class, not pairs
 BLOCK_ROWS = 256
 # parts of the order, in 64ths, up to which each document says how many n-grams it has
 GRID = [*range(1, 25), *range(28, 65, 4)]
