@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankops.functions.columns import money, share
+from bankops.functions.columns import share
 from bankops.operators.skew import find_hot, part_by, same_keys
 
 _REDUCE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
@@ -59,13 +59,13 @@ def hot_key_split(df: DataFrame, key: str, threshold: int) -> tuple[DataFrame, D
     return hot, rest
 
 
-def target_encode_fit(train: DataFrame, col: str, label: str, k: float = 0.0) -> DataFrame:
+def target_encode_fit(train: DataFrame, col: str, label: str | Column, k: float = 0.0) -> DataFrame:
     """Encoding table: category, encoding.
 
-    ``(sum_y + k * global_mean) / (n + k)``; k = 0 is the plain mean. Labels are whole numbers or
-    two-digit amounts, summed exactly. The global mean comes from the per-category sums.
+    ``(sum_y + k * global_mean) / (n + k)``; k = 0 is the plain mean. The label is summed as it is
+    given: whole numbers and decimals exactly, floating numbers as Spark adds them.
     """
-    per = train.groupBy(col).agg(F.sum(money(label)).alias("_s"), F.count(label).alias("_n"))
+    per = train.groupBy(col).agg(F.sum(label).alias("_s"), F.count(label).alias("_n"))
     if k == 0:
         return per.select(col, share(F.col("_s"), F.col("_n")).alias("encoding"))
     overall = global_mean(train, label)
@@ -73,8 +73,8 @@ def target_encode_fit(train: DataFrame, col: str, label: str, k: float = 0.0) ->
     return per.select(col, smooth.alias("encoding"))
 
 
-def global_mean(df: DataFrame, label: str) -> float | None:
-    return df.agg(share(F.sum(money(label)), F.count(label))).first()[0]
+def global_mean(df: DataFrame, label: str | Column) -> float | None:
+    return df.agg(share(F.sum(label), F.count(label))).first()[0]
 
 
 def target_encode_apply(df: DataFrame, encoding: DataFrame, col: str, default: float | None = None) -> DataFrame:

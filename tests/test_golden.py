@@ -191,3 +191,10 @@ def test_grouped_features(spark):
     assert z[4] is None and abs(z[1] + z[2] + z[3]) < 1e-12
     cum = features.cumulative_share_delta(df, "acc", "ts", "amount", "id")
     assert values(cum, "id", "cum_share")[2] == (3, 1.0)
+
+
+def test_labels_of_four_digits_keep_them(spark):
+    rows = spark.createDataFrame([("a", 0.001), ("a", 0.004), ("b", 0.25)], "c string, y double")
+    got = {r.c: round(r.encoding, 9) for r in aggregates.target_encode_fit(rows, "c", "y").collect()}
+    assert got == {"a": 0.0025, "b": 0.25}
+    assert round(aggregates.global_mean(rows, "y"), 9) == 0.085
