@@ -15,7 +15,8 @@ that many documents share are shown only by documents made of little else.
    places of the order, so what is left beyond such a place is known for both.
 5. What is left falls into groups. The whole sets of a group meet in a task, and overlaps are counted by products of
    blocks of the matrix, exactly. Groups beyond a block are compared with some of their members first; after that only classes
-   outside the largest component are compared with the rest, block by block, so a large group of copies costs its size.
+   outside the largest component are compared with the rest, block by block, so a large group of copies costs its size. Blocks
+   hold classes of about one size, and only blocks whose sizes can link meet.
 
 Hashes of n-grams have 60 bits and those of sets 64, over all documents; two different sets of one hash would be taken for
 copies (expected number: documents squared over 2^65).
@@ -23,6 +24,7 @@ copies (expected number: documents squared over 2^65).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -374,10 +376,13 @@ def jaccard_components(
     groups = components(pairs.select("a", "b").union(ties))
     groups = groups.withColumnsRenamed({"node": "a", "component": "grp"})
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    members = groups.join(sizes, "grp").join(classes.select("a", "first_id"), "a")
-    with_text = stored(
-        members.join(rows.withColumnRenamed("doc_id", "first_id"), "first_id").select("grp", "members", "a", "text")
-    )
+    # sets that link differ in size by the band's width at most, so they lie in one band or in neighbouring ones
+    width = 1.001 * max(math.log(100 / percent), 1e-6)
+    members = groups.join(sizes, "grp").join(classes.select("a", "first_id", F.floor(F.log("n") / width).alias("band")), "a")
+    alike = members.groupBy("grp", "band").agg(F.count("*").alias("alike"))
+    members = members.join(alike, ["grp", "band"])
+    with_text = members.join(rows.withColumnRenamed("doc_id", "first_id"), "first_id")
+    with_text = stored(with_text.select("grp", "members", "band", "alike", "a", "text"))
 
     spread_ = F.xxhash64("a", F.lit(7))
     few = with_text.where(F.col("members") <= BLOCK_ROWS)
@@ -399,14 +404,16 @@ def jaccard_components(
         by = state.groupBy("grp", "component").agg(F.count("*").alias("n"))
         largest = by.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
         state = state.join(largest.where("parts > 1"), "grp").withColumn("rest", F.col("component") != F.col("largest"))
-        state = stored(state.withColumn("piece", F.pmod(F.xxhash64("a"), F.ceil(F.col("members") / BLOCK_ROWS)).cast("int")))
-        left = state.where("rest").select("grp", F.col("piece").alias("i")).distinct()
-        # every piece with classes outside the largest component meets every piece of its group
-        asking = state.where("rest").withColumn("j", F.explode(F.sequence(F.lit(0), F.ceil(F.col("members") / BLOCK_ROWS).cast("int") - 1)))
-        asking = asking.select("grp", "a", "text", F.lit(True).alias("side"), F.col("piece").alias("i"), "j")
-        answering = state.join(left, "grp").select("grp", "a", "text", F.lit(False).alias("side"), "i", F.col("piece").alias("j"))
-        # a class may both ask and answer in a task; there the asking row counts
-        both = asking.union(answering).select("grp", "a", "text", "side", F.concat_ws(":", "grp", "i", "j").alias("task"))
+        state = stored(state.withColumn("piece", F.pmod(F.xxhash64("a"), F.ceil(F.col("alike") / BLOCK_ROWS))))
+        # two blocks of sizes that can link meet when one of them has classes outside the largest component; a block without
+        # them sends nothing to another one without
+        pieces = state.groupBy("grp", F.col("band").alias("other_band"), F.col("piece").alias("other_piece")).agg(F.max("rest").alias("open"))
+        near = pieces.withColumn("band", F.explode(F.array(*(F.col("other_band") + k for k in (-1, 0, 1)))))
+        near = near.groupBy("grp", "band").agg(F.collect_list(F.struct("other_band", "other_piece", "open")).alias("near"))
+        both = state.join(near, ["grp", "band"])
+        both = both.withColumn("other", F.explode(F.filter("near", lambda x: F.col("rest") | x["open"])))
+        ends = F.concat_ws(".", "band", "piece"), F.concat_ws(".", "other.other_band", "other.other_piece")
+        both = both.select("grp", "a", "text", F.col("rest").alias("side"), F.concat_ws(":", "grp", F.least(*ends), F.greatest(*ends)).alias("task"))
         more = both.groupBy("task").applyInArrow(verify, "a long, b long")
         edges = stored(edges.union(more))
 

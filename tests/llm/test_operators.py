@@ -122,7 +122,10 @@ def test_jaccard_large_groups(spark, monkeypatch):
     base = [f"w{i}" for i in range(60)]
     rows = [(k, " ".join(base[: 58 - k % 7] + [f"x{k}"])) for k in range(150)]
     rows += [(1000 + k, " ".join(base[:30] + [f"y{k}_{i}" for i in range(30)])) for k in range(100)]
+    # a chain over many sizes, each linked with its neighbours only
+    rows += [(2000 + k, " ".join(f"z{i}" for i in range(20 + int(16 * 1.2**k)))) for k in range(18)]
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2000 + k] == 2000 for k in range(18))
     assert all(got[k] == 0 for k in range(150)) and all(got[k] == k for k in range(1000, 1100))
 
 
