@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, pii, quality, sharding, token_counts
+from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, pii, quality, sharding, sql, token_counts
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -28,12 +28,12 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, folder, "documents"))
 
 
-@query("op5_jaccard_join")
+@query("op5_jaccard_join", sql.JACCARD)
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, folder, "documents"))
 
 
-@query("op10_quality")
+@query("op10_quality", sql.QUALITY)
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read(spark, folder, "documents"))
 
