@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankops.functions.columns import MICROS_PER_DAY, MICROS_PER_SECOND, count_where, is_weekend, micros, money, share
+from bankops.functions.columns import MICROS_PER_DAY, MICROS_PER_SECOND, count_where, is_weekend, micros, share
 from bankops.operators.skew import over_range, running
 from bankops.operators.windows import AXIS, as_list, gap_seconds, over_days, previous
 
@@ -75,13 +75,13 @@ def small_ratio(df: DataFrame, key: str, value: str, limit: float, name: str = "
 
 
 def flow_ratio(
-    df: DataFrame, key, ts: str, value: str, debit: Column, credit: Column, days: float, tie: str,
+    df: DataFrame, key, ts: str, value: Column, debit: Column, credit: Column, days: float, tie: str,
     name: str = "flow_ratio", hot_rows: int | None = None,
 ) -> DataFrame:
-    """Spending over income in the frame; NULL without income."""
+    """Spending over income in the frame; NULL without income. ``value`` is a decimal or a whole number, summed as given."""
     parts = {
-        "_out": ("sum", F.when(debit, money(value)).otherwise(money(F.lit(0)))),
-        "_in": ("sum", F.when(credit, money(value)).otherwise(money(F.lit(0)))),
+        "_out": ("sum", F.when(debit, value).otherwise(F.lit(0))),
+        "_in": ("sum", F.when(credit, value).otherwise(F.lit(0))),
     }
     out = over_days(df, key, ts, days, parts, tie, hot_rows)
     return out.withColumn(name, share(F.col("_out"), F.col("_in"))).drop(*parts)
@@ -118,14 +118,16 @@ def zscore(df: DataFrame, key: str, value: str, name: str = "zscore") -> DataFra
 
 
 def cumulative_share_delta(
-    df: DataFrame, key: str, ts: str, value: str, tie: str, hot_rows: int | None = None
+    df: DataFrame, key: str, ts: str, value: Column, tie: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """Running share of the key's total, and its change from the previous row (from 0 on the first)."""
-    amount = money(value)
-    run = running(df, [key], [F.col(ts), F.col(tie)], {"_run": ("sum", amount)}, hot_rows)
-    totals = df.groupBy(F.col(key).alias("_key")).agg(F.sum(amount).alias("_total"))
+    """Running share of the key's total, and its change from the previous row (from 0 on the first).
+
+    ``value`` is summed as given; sums of decimals and whole numbers are exact.
+    """
+    run = running(df, [key], [F.col(ts), F.col(tie)], {"_run": ("sum", value)}, hot_rows)
+    totals = df.groupBy(F.col(key).alias("_key")).agg(F.sum(value).alias("_total"))
     joined = run.join(totals, run[key].eqNullSafe(totals["_key"]), "left")
-    before = F.col("_run") - F.coalesce(amount, money(F.lit(0)))
+    before = F.col("_run") - F.coalesce(value, F.lit(0))
     now = share(F.col("_run"), F.col("_total"))
     return joined.select(
         *df.columns, now.alias("cum_share"), (now - share(before, F.col("_total"))).alias("cum_share_delta")

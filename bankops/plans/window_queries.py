@@ -269,7 +269,7 @@ def feat_category_share(t):
 )
 def feat_io_ratio(t):
     kind = F.col("event_type")
-    out = fx.flow_ratio(rows(t), KEY, TS, "value", kind == "click", kind == "purchase", 7, TIE)
+    out = fx.flow_ratio(rows(t), KEY, TS, money("value"), kind == "click", kind == "purchase", 7, TIE)
     return out.select("event_id", "flow_ratio")
 
 
@@ -314,7 +314,7 @@ def feat_zscore(t):
         CAST(sum({AMOUNT}) OVER (PARTITION BY user_id) AS DOUBLE) AS total FROM events)""",
 )
 def feat_cumshare_delta(t):
-    out = fx.cumulative_share_delta(rows(t), KEY, TS, "value", TIE)
+    out = fx.cumulative_share_delta(rows(t), KEY, TS, money("value"), TIE)
     return out.select("event_id", "cum_share", "cum_share_delta")
 
 

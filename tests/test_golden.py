@@ -189,7 +189,7 @@ def test_grouped_features(spark):
     assert values(features.listed_shares(df, "acc", "channel", ["POS"]), "acc", "pos_share") == [("A", 2 / 3), ("B", 0.0)]
     z = {r.id: r.zscore for r in features.zscore(df, "acc", "amount").collect()}
     assert z[4] is None and abs(z[1] + z[2] + z[3]) < 1e-12
-    cum = features.cumulative_share_delta(df, "acc", "ts", "amount", "id")
+    cum = features.cumulative_share_delta(df, "acc", "ts", money("amount"), "id")
     assert values(cum, "id", "cum_share")[2] == (3, 1.0)
 
 
