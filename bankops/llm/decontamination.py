@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: rare word seeds, then Smith-Waterman alignment of words.
 
 The items of a benchmark are a stated set of queries, taken in blocks of bounded size; each block goes once over all
-documents. A first pass counts how often each n-gram of the items occurs in the corpus, and each item keeps its rarer ones
-as seeds. A second pass finds seeds in the documents; seeds of one item on nearby diagonals propose a window, and the item is
-aligned with the window: +2 for an equal word, -1 for another word or a gap. A score of a given share of the best one
-possible is a hit. Everything happens where a document is read, so nothing but counts and hits is moved.
+documents. A first pass counts how often each word of the items occurs in the corpus. An alignment that is a hit matches at
+least so many of the item's places that, of its rarest occurring ones, a known number must be among them: those places are the
+item's seeds, and no hit can do without them, however often they occur. A second pass finds seeds in the documents; enough of
+one item's seeds close together propose a window, and the item is aligned with it: +2 for an equal word, -1 for another word or
+a gap. A score of a given share of the best one possible is a hit. Everything happens where a document is read, so nothing but
+counts and hits is moved.
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, rows_of, runs, spread, table, text_slices, window_hashes
+from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, mixed, rows_of, runs, spread, table, text_slices
 
-SEED_WORDS = 4
+WHOLE_WORDS = 4  # a hit scores as much as so many equal words, or all words of a shorter item
 ITEM_BYTES = 4 << 20  # of item text in one block
-RARE = 200  # occurrences in the corpus up to which every n-gram is a seed
-BAND = 24  # diagonals of one window
+PAIRS, CELLS = 2 << 20, 1 << 20  # seeds found and cells of windows that are worked on at once
 LEAST_SCORE = 0.5
 MATCH, MISS = 2, 1
 _WORD = LETTER | table(b"0123456789") | table(bytes(range(128, 256)))
@@ -58,114 +59,153 @@ def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Items:
-    """One block of items: their words, and the n-grams that are seeds with the places they stand at."""
+    """One block of items: their words, and the words that are seeds of each."""
 
-    def __init__(self, texts: list[str], words: int = SEED_WORDS):
-        self.words = words
+    def __init__(self, texts: list[str], least: float = LEAST_SCORE):
         column = pa.array(texts, pa.large_string())
-        held = [words_of(d, o) + (hi - lo,) for lo, hi, d, o in text_slices(column, 1 << 40)]
-        self.hash, self.row = held[0][:2] if held else (np.zeros(0, U), np.zeros(0, np.int64))
+        held = [words_of(d, o) for _, _, d, o in text_slices(column, 1 << 40)]
+        self.hash, self.row = held[0] if held else (np.zeros(0, U), np.zeros(0, np.int64))
         self.size = np.bincount(self.row, minlength=len(texts))
         self.start = np.cumsum(self.size) - self.size
-        grams, at = window_hashes(self.hash, self.row, words)
-        self.grams, self.gram = np.unique(grams, return_inverse=True)
-        self.item, self.place = self.row[at], at - self.start[self.row[at]]
+        self.words, self.word = np.unique(self.hash, return_inverse=True)
+        self.pairs = np.unique(self._pair(self.row, self.hash))
+        # the smallest score of a hit, the words it matches at least and the most words of a document it covers
+        self.score = np.maximum(np.ceil(MATCH * self.size * least - 1e-9), MATCH * np.minimum(self.size, WHOLE_WORDS)).astype(np.int64)
+        self.match = -(-self.score // MATCH)
+        self.span = self.size + (MATCH * self.size - self.score) // MISS
 
     def seeds(self, counts: np.ndarray) -> "Items":
-        """Keep the n-grams of each item that occur RARE times or fewer, and its rarer half in any case."""
-        n = counts[self.gram]
-        order = np.lexsort((n, self.item))
-        first = np.searchsorted(self.item[order], np.arange(len(self.size)))
-        total = np.bincount(self.item, minlength=len(self.size))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) - first[self.item[order]]
-        keep = (n <= RARE) | (2 * rank <= total[self.item])
-        order = np.argsort(self.gram[keep], kind="stable")
-        self.gram, self.item, self.place = (x[keep][order] for x in (self.gram, self.item, self.place))
-        self.first = np.searchsorted(self.gram, np.arange(len(self.grams) + 1))
+        """Keep the rarest places of each item: a hit misses at most (places whose word occurs) - ``match`` of those whose word
+        occurs, so of ``some`` more than that, whichever they are, it has ``some``. Their words are the seeds."""
+        n = counts[self.word]
+        there = np.flatnonzero(n > 0)
+        there = there[np.lexsort((n[there], self.row[there]))]
+        total = np.bincount(self.row[there], minlength=len(self.size))
+        rank = np.arange(len(there)) - (np.cumsum(total) - total)[self.row[there]]
+        self.some = np.maximum(1, self.match // 2)
+        keep = there[rank < np.where(total >= self.match, total - self.match + self.some, 0)[self.row[there]]]
+        pairs = np.unique(self.word[keep] * len(self.size) + self.row[keep])
+        self.gram, self.item = np.divmod(pairs, max(1, len(self.size)))
         return self
 
-    def lookup(self) -> HashTable:
-        out = HashTable()
-        out.add(self.grams, np.arange(len(self.grams), dtype=np.int32))
-        return out
+    @staticmethod
+    def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """A hash for each item and word."""
+        return mixed(word + item.astype(U) * U(0x9E3779B97F4A7C15))
 
-    def hits(self, found: HashTable, data: np.ndarray, offs: np.ndarray, least: float) -> dict[str, np.ndarray]:
-        """The best alignment of each (row, item) that reaches ``least`` of the item's best possible score."""
-        h, row = words_of(data, offs)
-        grams, at = window_hashes(h, row, self.words)
-        index = found.find(grams)
+    def lookup(self) -> tuple[HashTable, HashTable]:
+        """The items' words, and the pairs of an item and a word of it."""
+        words, pairs = HashTable(), HashTable()
+        words.add(self.words, np.arange(len(self.words), dtype=np.int32))
+        pairs.add(self.pairs, np.zeros(len(self.pairs), np.int32))
+        return words, pairs
+
+    def windows(self, index: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(item, row, first word, word after the last, seeds) of the windows where an item can stand, some items at a time."""
         known = np.flatnonzero(index >= 0)
-        index, at = index[known], at[known]
-        times = self.first[index + 1] - self.first[index]
-        where = spread(self.first[index], times)
-        at, item = np.repeat(at, times), self.item[where]
-        diagonal = at - self.place[where]
-        empty = {k: np.zeros(0, np.int64) for k in ("row", "item", "start", "end", "seeds")} | {"score": np.zeros(0)}
-        if not len(at):
-            return empty
-        band = (diagonal + 4 * BAND) // BAND
-        key = np.lexsort((band, item, row[at]))
-        at, item, band, diagonal = at[key], item[key], band[key], diagonal[key]
-        new = np.ones(len(at), bool)
-        new[1:] = (row[at][1:] != row[at][:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
-        edge = np.flatnonzero(new)
-        seeds = np.diff(np.append(edge, len(at)))
-        owner, item, band = row[at][edge], item[edge], band[edge]
-        # the window: where the item would stand on the band's diagonals, with room for gaps on both sides
+        word = index[known]
+        occur = np.bincount(word, minlength=len(self.words))
+        load = np.cumsum(np.bincount(self.item, occur[self.gram], minlength=len(self.size)).astype(np.int64))
+        part = load // PAIRS
+        for p in np.unique(part[self.item]):
+            chosen = part[self.item] == p
+            gram, owner = self.gram[chosen], self.item[chosen]
+            first = np.searchsorted(gram, np.arange(len(self.words) + 1))
+            times = first[word + 1] - first[word]
+            key = owner[spread(first[word], times)] * len(index) + np.repeat(known, times)
+            key.sort()
+            item, at = np.divmod(key, max(1, len(index)))
+            # so many seeds of one item in one row on as many words as a hit can cover
+            last = np.arange(len(at)) + self.some[item] - 1
+            begin = np.flatnonzero(last < len(at))
+            last = last[begin]
+            good = (item[last] == item[begin]) & (row[at[last]] == row[at[begin]]) & (at[last] - at[begin] < self.span[item[begin]])
+            begin, last = begin[good], last[good]
+            if not len(begin):
+                continue
+            item, low, high = item[begin], at[last] - self.span[item[begin]] + 1, at[begin] + self.span[item[begin]]
+            owner, place = row[at[begin]], at[begin] // self.span[item]
+            new = np.ones(len(begin), bool)
+            new[1:] = (item[1:] != item[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+            edge = np.flatnonzero(new)
+            end = np.append(edge[1:], len(begin)) - 1
+            yield item[edge], owner[edge], low[edge], high[end], last[end] - begin[edge] + 1
+
+    def hits(self, found: tuple[HashTable, HashTable], data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
+        """The best alignment of each (row, item) that is a hit."""
+        h, row = words_of(data, offs)
         first_word = np.searchsorted(row, np.arange(len(offs)))
-        size = self.size[item]
-        low = (band - 4) * BAND
-        lo = np.maximum(low - BAND, first_word[owner])
-        hi = np.minimum(low + 2 * BAND + size, first_word[owner + 1])
-        start, end, score = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64), np.zeros(len(item))
-        for part in np.array_split(np.argsort(size, kind="stable"), -(-len(item) // 256)):
-            n, width = int(size[part].max()), int((hi - lo)[part].max())
-            k, j = np.arange(n), np.arange(width)
-            a = np.where(k < size[part, None], self.hash[np.minimum(self.start[item[part], None] + k, len(self.hash) - 1)], U(1))
-            b = np.where(j < (hi - lo)[part, None], h[np.minimum(lo[part, None] + j, len(h) - 1)], U(2))
-            best, stop = align(a, b)
-            score[part] = best / (MATCH * size[part])
-            good = np.flatnonzero(score[part] >= least)
-            if len(good):
-                # the same from right to left, up to where it ended, tells where it began
-                c = b[good].copy()
-                c[j[None, :] >= stop[good, None]] = U(2)
-                _, back = align(a[good][:, ::-1], c[:, ::-1])
-                base = lo[part[good]] - first_word[owner[part[good]]]
-                start[part[good]], end[part[good]] = base + width - back, base + stop[good]
-        keep = np.flatnonzero(score >= least)
-        keep = keep[np.lexsort((start[keep], -score[keep], item[keep], owner[keep]))]
+        names = ("row", "item", "start", "end", "score", "seeds")
+        out = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0), np.zeros(0, np.int64)]]
+        for item, owner, lo, hi, seeds in self.windows(found[0].find(h), row):
+            lo, hi = np.maximum(lo, first_word[owner]), np.minimum(hi, first_word[owner + 1])
+            order, p = np.argsort(self.size[item], kind="stable"), 0
+            while p < len(order):
+                q = min(len(order), p + 256)
+                while q > p + 1 and (q - p) * int((hi - lo)[order[p:q]].max()) > CELLS:
+                    q = p + (q - p) // 2
+                out.append(self._aligned(found[1], h, item, owner, lo, hi, seeds, order[p:q], first_word))
+                p = q
+        row, item, start, end, score, seeds = (np.concatenate(x) for x in zip(*out))
+        keep = np.lexsort((start, -score, item, row))
         one = np.ones(len(keep), bool)
-        one[1:] = (owner[keep][1:] != owner[keep][:-1]) | (item[keep][1:] != item[keep][:-1])
+        one[1:] = (row[keep][1:] != row[keep][:-1]) | (item[keep][1:] != item[keep][:-1])
         keep = keep[one]
-        return {"row": owner[keep], "item": item[keep], "start": start[keep], "end": end[keep], "score": score[keep], "seeds": seeds[keep]}
+        return {k: x[keep] for k, x in zip(names, (row, item, start, end, score, seeds))}
+
+    def _aligned(self, pairs: HashTable, h, item, owner, lo, hi, seeds, part, first_word) -> list[np.ndarray]:
+        """Row, item, start, end, score and seeds of the hits among the windows ``part``."""
+        item, owner, lo, hi, seeds = (x[part] for x in (item, owner, lo, hi, seeds))
+        j = np.arange(int((hi - lo).max()))
+        b = np.where(j < (hi - lo)[:, None], h[np.minimum(lo[:, None] + j, len(h) - 1)], U(2))
+        # words of the item on as many words as a hit can cover: fewer than it must match are none
+        same = np.zeros((len(item), len(j) + 1), np.int64)
+        np.cumsum(pairs.find(self._pair(np.repeat(item, len(j)), b.ravel())).reshape(b.shape) >= 0, axis=1, out=same[:, 1:])
+        over = np.minimum(np.arange(len(j) + 1) + self.span[item, None], len(j))
+        most = (np.take_along_axis(same, over, axis=1) - same).max(axis=1)
+        good = np.flatnonzero(most >= self.match[item])
+        item, owner, lo, seeds, b = item[good], owner[good], lo[good], seeds[good], b[good]
+        if not len(item):
+            return [item] * 4 + [np.zeros(0), item]
+        size = self.size[item]
+        k = np.arange(int(size.max()))
+        a = np.where(k < size[:, None], self.hash[np.minimum(self.start[item, None] + k, len(self.hash) - 1)], U(1))
+        best, stop = align(a, b)
+        good = np.flatnonzero(best >= self.score[item])
+        if not len(good):
+            return [item[good]] * 4 + [np.zeros(0), item[good]]
+        # the same from right to left, up to where it ended, tells where it began
+        c = b[good].copy()
+        c[j[None, :] >= stop[good, None]] = U(2)
+        _, back = align(a[good][:, ::-1], c[:, ::-1])
+        base = lo[good] - first_word[owner[good]]
+        return [owner[good], item[good], base + len(j) - back, base + stop[good], best[good] / (MATCH * size[good]), seeds[good]]
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, text_col: str) -> Iterator[tuple[list, Items]]:
+def item_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, text_col: str, least: float) -> Iterator[tuple[list, Items]]:
     """(item ids, items with their seeds) block by block; a block's text is about ITEM_BYTES, read by the driver."""
     named = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // ITEM_BYTES))
     for b in range(blocks):
         rows = named.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        items = Items([r["text"] for r in rows])
-        if not len(items.grams):
+        items = Items([r["text"] for r in rows], least)
+        if not len(items.words):
             continue
 
         def count(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            found, n = items.lookup(), np.zeros(len(items.grams), np.int64)
+            found, n = items.lookup()[0], np.zeros(len(items.words), np.int64)
             for batch in batches:
                 for _, _, data, offs in text_slices(batch.column(0)):
-                    index = found.find(window_hashes(*words_of(data, offs), items.words)[0])
+                    index = found.find(words_of(data, offs)[0])
                     n += np.bincount(index[index >= 0], minlength=len(n))
             at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["word", "n"])
 
-        counted = docs.select(text_col).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        counts = np.zeros(len(items.grams), np.int64)
-        for r in counted.collect():  # at most one number for each n-gram of the block
-            counts[r["gram"]] = r["n"]
+        counted = docs.select(text_col).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counts = np.zeros(len(items.words), np.int64)
+        for r in counted.collect():  # at most one number for each word of the block
+            counts[r["word"]] = r["n"]
         yield [r["item_id"] for r in rows], items.seeds(counts)
 
 
@@ -179,10 +219,10 @@ def find_leaks(
     least: float = LEAST_SCORE,
 ) -> DataFrame:
     """doc_id, item_id, start_word, end_word (words of the document from 0, end exclusive), score, seeds: one row for each
-    document row and item whose best alignment reaches ``least``.
+    document row and item whose best alignment reaches ``least`` and scores as much as WHOLE_WORDS equal words, or as the whole
+    item if that is shorter. ``seeds`` are those in the window it was found in.
 
-    Null and empty texts and items have no seeds and no hits, and so have items of fewer than SEED_WORDS words. Null ids are
-    kept. Repeated rows have their own hits; items with equal texts each have theirs; other columns are not read.
+    Null and empty texts and items have no hits. Null ids are kept. Repeated rows have their own hits; items with equal texts each have theirs; other columns are not read.
     """
     spark = docs.sparkSession
     id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
@@ -191,14 +231,14 @@ def find_leaks(
     fields += [T.StructField("score", T.DoubleType()), T.StructField("seeds", T.LongType())]
     schema = T.StructType(fields)
     out = None
-    for ids, items in item_blocks(docs, benchmark, item_col, item_text, text_col):
+    for ids, items in item_blocks(docs, benchmark, item_col, item_text, text_col, least):
 
         def hits(batches: Iterator[pa.RecordBatch], ids=ids, items=items) -> Iterator[pa.RecordBatch]:
             found, names = items.lookup(), None
             for batch in batches:
                 names = names if names is not None else pa.array(ids, to_arrow_type(item_type))
                 for lo, hi, data, offs in text_slices(batch.column(1)):
-                    x = items.hits(found, data, offs, least)
+                    x = items.hits(found, data, offs)
                     rest = [pa.array(x[k]) for k in ("start", "end", "score", "seeds")]
                     doc = batch.column(0).slice(lo, hi - lo).take(pa.array(x["row"]))
                     yield pa.RecordBatch.from_arrays([doc, names.take(pa.array(x["item"])), *rest], schema.names)
@@ -219,14 +259,14 @@ def decontaminate(
     """The rows of ``docs``, all columns, that hold no item; rows are judged one by one, whatever their ids."""
     at = docs.columns.index(text_col)
     schema = docs.schema
-    for _, items in item_blocks(docs, benchmark, item_col, item_text, text_col):
+    for _, items in item_blocks(docs, benchmark, item_col, item_text, text_col, least):
 
         def clean(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             found = items.lookup()
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for lo, _, data, offs in text_slices(batch.column(at)):
-                    keep[lo + items.hits(found, data, offs, least)["row"]] = False
+                    keep[lo + items.hits(found, data, offs)["row"]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, schema)

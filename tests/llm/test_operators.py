@@ -160,6 +160,22 @@ def test_decontamination(spark, docs, texts):
     assert left.columns == docs.columns and left.count() == len(texts) - 1
 
 
+def test_decontamination_of_common_and_short_items(spark):
+    """Edited items in many copies, edits at every third word, words put in between, items of fewer than four words."""
+    item = [f"q{i}" for i in range(40)]
+    edited = " ".join("edit" if i % 5 == 4 else w for i, w in enumerate(item))
+    dense = " ".join("edit" if i % 3 == 2 else w for i, w in enumerate(item[:39]))
+    wide = " ".join(w + " more" for w in item)
+    rows = [(k, f"some words before {edited} and behind") for k in range(250)]
+    rows += [(300, f"a {dense} b"), (301, wide), (302, "then Rare Thing came"), (303, "rare but no thing"), (304, " ".join(item[:15]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "rare thing")], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(docs, bench).collect()}
+    assert set(got) == {(k, 1) for k in [*range(250), 300, 301]} | {(302, 2)}
+    assert got[0, 1].score == (2 * 32 - 8 + 1) / 80 and got[0, 1].start_word == 3
+    assert sorted(r.doc_id for r in decontamination.decontaminate(docs, bench).collect()) == [303, 304]
+
+
 def test_language(spark):
     a, b = "the of and stone river light".split(), "der und nicht fluss haus licht".split()
     rows = [(k, " ".join((a, b)[k % 2][(k + j * j) % 6] for j in range(30)), ("en", "de")[k % 2]) for k in range(200)]
