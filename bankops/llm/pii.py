@@ -34,7 +34,7 @@ BASE = {
 KINDS = [*BASE, "iban", "secret", "ssn"]
 # the generators: kind, a cheap test, pattern
 GENERATORS = [
-    ("email", r" at |\[at\]|\(at\)", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]{1,63}+ ?[(\[]? ?(?:\bdot\b|\.) ?[)\]]? ?[A-Za-z]{2,12}+"),
+    ("email", r"(?i)[A-Za-z0-9._%+-] ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]{1,63}+ ?[(\[]? ?(?:\bdot\b|\.) ?[)\]]? ?[A-Za-z]{2,12}+"),
     ("phone", "[0-9]-[0-9]", r"(?<![0-9+.-])[0-9]{2,4}+-[0-9]{3,4}+-[0-9]{3,4}+(?![0-9.-])"),
     ("phone", r"\([0-9]", r"\([0-9]{2,4}\) ?[0-9]{3,4}+[ .-][0-9]{3,4}+(?![0-9])"),
     ("phone", "[0-9][. ][0-9]", r"(?<![0-9+.-])[0-9]{3}+[. ][0-9]{3}+[. ][0-9]{4}+(?![0-9.-])"),
@@ -100,10 +100,7 @@ def candidates(text: Column) -> Column:
         empty = F.array().cast("array<struct<kind:string,s:int,e:int,m:string,left:string,right:string,rule:int>>")
         return F.when(text.rlike(test), named).otherwise(empty)
 
-    # a proposal has a digit, or is an address written out, or a secret with its name
-    every = F.concat(*(proposed(i, *g) for i, g in enumerate(GENERATORS)))
-    empty = F.array().cast("array<struct<kind:string,s:int,e:int,m:string,left:string,right:string,rule:int>>")
-    return F.when(text.rlike("[0-9]| at |[:=]"), every).otherwise(empty)
+    return F.concat(*(proposed(i, *g) for i, g in enumerate(GENERATORS)))
 
 
 _CONTEXT = {
@@ -146,6 +143,7 @@ def made_rows(spark: SparkSession, n: int, seed: int) -> DataFrame:
     word = lambda: rng.choice("an ber col da el fro gi ho".split()) + rng.choice("ria nt mo son ley tta vik ra".split())
     good = [
         (lambda: f"{word()} at {word()} dot {rng.choice(['com', 'org', 'net', 'de'])}", "contact me by mail|write to|reach me|kontakt"),
+        (lambda: f"{word()} at {word()} dot {rng.choice(['com', 'org', 'net', 'de'])}".upper(), "contact me by mail|WRITE TO|reach me|NOW"),
         (lambda: f"{word()} [at] {word()}.{rng.choice(['com', 'org', 'fr'])}", "mail|contact|address"),
         (lambda: f"{num(3)}-{num(3)}-{num(4)}", "call me|tel|phone|mobile|fax|and"),
         (lambda: f"({num(3)}) {num(3)}-{num(4)}", "call|tel|phone|in|at"),
@@ -159,6 +157,7 @@ def made_rows(spark: SparkSession, n: int, seed: int) -> DataFrame:
     ]
     bad = [
         (lambda: f"{word()} at {word()}. {word().title()}", "we met|they looked|arrived with|the"),
+        (lambda: f"{word()} at {word()}. {word()}".upper(), "WE MET|they looked|ARRIVED WITH|the"),
         (lambda: f"{num(3)}-{num(3)}-{num(4)}", "order|invoice|part|serial no|isbn"),
         (lambda: f"20{num(2)}-{num(3)}-{num(3)}", "issue|page|version|on"),
         (lambda: f"{num(3)}.{num(3)}.{num(4)}", "version|build|total of|chapter"),

@@ -223,6 +223,20 @@ def test_pii(docs, texts):
     assert set(line.split(",")) <= set(rows[0].spans.split(","))
 
 
+def test_pii_forms_alone(spark):
+    """Each generator proposes its form in a text with nothing else that a generator asks for; written-out addresses go."""
+    forms = [
+        ("email", "Please write to ann [at] mail.org today"), ("email", "write to ann (at) mail.org"), ("email", "PLEASE WRITE TO ANN AT MAIL DOT COM"), ("email", "ANN [AT] mail.org"),
+        ("phone", "555-123-4567"), ("phone", "(555) 123.4567"), ("phone", "555.123.4567"), ("ip", "a:b:c:d:e:f:a:b"), ("card", "1234.5678.1234.5678"),
+        ("iban", "DE44500105175407324931"), ("ssn", "123-12-1234"), ("secret", "password = abcdefgh"), ("secret", "abcdef" * 6),
+    ]
+    rows = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(forms)], "doc_id long, text string")
+    found = {r.doc_id: {c.kind for c in r.c} for r in rows.select("doc_id", pii.candidates(rows.text).alias("c")).collect()}
+    assert [t for k, (kind, t) in enumerate(forms) if kind not in found[k]] == []
+    spans = {r.doc_id: r.spans for r in pii.pii_report(rows).collect()}
+    assert [forms[k][1] for k in range(4) if "email:" not in spans[k]] == []
+
+
 def test_empty_tables(spark, docs, tmp_path):
     none = docs.where("false")
     for f in (token_counts.count_tokens, packing.pack, jaccard.jaccard_components, quality.quality_rules, language.identify, licenses.license_scan, pii.pii_report):
