@@ -11,6 +11,7 @@ there is no shuffle, and repeated rows or ids need no care.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ CONFIDENCE = {TAG: 1.0, GRANT: 0.95, NAME: 0.8, HINT: 0.4}
 _V = "(version )?v?"
 # label, keyword, pattern of the name over words, identifiers as words
 FAMILIES = [
-    ("mit", "mit", "(mit|expat)( x11)? license", "mit"),
+    ("mit", "mit", "mit( x11)? license", "mit"),
+    ("mit", "expat", "expat( x11)? license", None),
     ("mit-0", "mit", "mit no attribution( license)?", "mit 0"),
     ("apache-2.0", "apache", f"apache( software)? license( {_V}2( 0)?)", "apache 2 0"),
     ("apache-1.1", "apache", f"apache( software)? license {_V}1 1", "apache 1 1"),
@@ -71,9 +73,11 @@ FAMILIES = [
     ("python-2.0", "python", f"python license( {_V}2( 0)?)?", "python 2 0"),
     ("php-3.01", "php", f"php license( {_V}3 01)?", "php 3 01"),
     ("ruby", "ruby", "ruby license", "ruby"),
-    ("wtfpl", "wtfpl", "(wtfpl|do what the fuck you want to public license)", "wtfpl"),
+    ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
+    ("wtfpl", "do what the", "do what the fuck you want to public license", None),
     ("unlicense", "unlicense", "(the )?unlicense", "unlicense"),
-    ("cc0-1.0", "cc0", f"(cc0|creative commons zero)( {_V}1 0)?( universal)?", "cc0 1 0"),
+    ("cc0-1.0", "cc0", f"cc0( {_V}1 0)?( universal)?", "cc0 1 0"),
+    ("cc0-1.0", "creative commons", f"creative commons zero( {_V}1 0)?( universal)?", None),
     ("ms-pl", "microsoft", "microsoft public license", "ms pl"),
     ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl"),
     ("eupl-1.2", "european union", f"european union public licen[cs]e {_V}1 2", "eupl 1 2"),
@@ -121,7 +125,7 @@ HINTS = [
     ("see-license", "license", "see (the )?license( file)? for details"),
 ]
 _UNDER = "(licensed|released|distributed|available|published|provided|covered|made available) under( the)?( terms of)?( the)?( gnu)?"
-ROOTS = ["licen", "spdx", "rights reserved", "public domain", "wtfpl", "cc0", "cc by", "creative commons", "bsd", "permission", "redistribution", "warranty", "non commercial", "rail"]
+ROOTS = ["licen", "spdx", "rights reserved", "public domain", "wtfpl", "cc0", "cc by", "creative commons", "bsd", "permission", "redistribution", "warranty", "non commercial", "rail", "mit no attribution"]
 
 
 def rules() -> list[tuple[str, str, str, str, int]]:
@@ -137,7 +141,7 @@ def rules() -> list[tuple[str, str, str, str, int]]:
             families.append((f"cc-{kind}", keyword, f"{name}( license)?", None))
     for label, keyword, name, identifier in families:
         if identifier:
-            word = identifier.split(" ")[0]
+            word = re.match("[a-z0-9]+", identifier).group()
             out.append(("spdx", word, f"spdx license identifier {identifier}", label, TAG))
             out.append(("opensource", word, f"opensource org licenses? {identifier}", label, GRANT))
         out.append((keyword, "under", f"{_UNDER} {name}", label, GRANT))

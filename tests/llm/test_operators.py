@@ -213,6 +213,41 @@ def test_licenses(docs, texts):
     assert collections.Counter(len(re.findall(words, lowered(t))) for _, t in texts) == collections.Counter(x.n_words for y in rows.values() for x in y)
 
 
+def shortest(pattern):
+    """Texts of every way through a pattern's alternatives, optional parts left out."""
+    import re._parser as parser
+
+    def texts(nodes):
+        out = [""]
+        for kind, value in nodes:
+            name = str(kind)
+            if name == "LITERAL":
+                here = [chr(value)]
+            elif name == "IN":
+                here = [chr(v) for k, v in value if str(k) == "LITERAL"] or [chr(value[0][1][0])]
+            elif name == "BRANCH":
+                here = [t for branch in value[1] for t in texts(branch)]
+            elif name == "MAX_REPEAT":
+                here = [t * value[0] for t in texts(value[2])]
+            else:
+                here = texts(value[3])
+            out = [a + b for a in out for b in dict.fromkeys(here)]
+        return out
+
+    return texts(parser.parse(pattern))
+
+
+def test_license_keywords(spark):
+    """Each way through a rule's pattern holds both keywords and a root, so no gate drops a name that a rule lists."""
+    for keyword, second, pattern, label, _ in licenses.rules():
+        for text in shortest(pattern):
+            assert keyword in text and second in text and any(x in text for x in licenses.ROOTS), (label, text)
+    names = [("cc0-1.0", "Creative Commons Zero 1.0"), ("wtfpl", "do what the fuck you want to public license"), ("mit", "Expat License")]
+    rows = [(k, f"{before} {name} here") for k, (_, name) in enumerate(names) for before in ("this is", "released under the")]
+    for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect():
+        assert r.labels == names[r.doc_id][0]
+
+
 def test_pii(docs, texts):
     rows = [r for r in pii.pii_report(docs).collect() if r.doc_id == 308]
     text = dict(texts)[308]
