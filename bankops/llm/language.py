@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, rows_of, runs, table, text_slices
+from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, rows_of, runs, spread, table, text_slices
 from bankops.llm.tokens import latin_letters
 
 TRAIN_DOCS = 2000  # bound of the training sample, in documents
@@ -32,23 +32,62 @@ SEQUENCES, SEQUENCE_WORDS, SPAN_WORDS = 3000, 64, 16
 ROUNDS, BATCH, RATE, RIDGE = 4, 200, 0.5, 1e-5
 MOST_WORDS = 1_000_000
 UNKNOWN = "und"
+PIECE_CHARS, PIECE_BYTES = 4, 64  # of a word in scripts without spaces, of any other long word
 _IN_WORD = LETTER | table(bytes(range(128, 256)))
+# first and last characters: punctuation outside ASCII, and scripts that set no spaces between words
+MARKS = [(0x2000, 0x200A), (0x2010, 0x206F), (0x3000, 0x3004), (0x3008, 0x3030), (0xFE30, 0xFE4F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
+SPACELESS = [(0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+
+
+def _pieces(body: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are in words, and where a word is cut before its end so that long ones are consecutive pieces."""
+    inside, cut = _IN_WORD[body[:-8]], np.zeros(len(body) - 8, bool)
+    at = np.flatnonzero(body[:-8] >= 0xE0)
+    if len(at):
+        a, b, c, d = (body[at + k].astype(np.int64) for k in range(4))
+        three = (a & 15) << 12 | (b & 63) << 6 | c & 63
+        code = np.where(a < 0xF0, three, (a & 7) << 18 | (b & 63) << 12 | (c & 63) << 6 | d & 63)
+        size = np.where(a < 0xF0, 3, 4)
+        among = lambda ranges: np.any([(code >= lo) & (code <= hi) for lo, hi in ranges], axis=0)
+        mark = at[among(MARKS)]
+        for k in range(3):
+            inside[mark + k] = False
+        chosen = among(SPACELESS)
+        at, end = at[chosen], (at + size)[chosen]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != end[:-1]) | np.isin(at[1:], offs)
+        first = np.flatnonzero(new)
+        place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        cut[at[place % PIECE_CHARS == 0]] = True
+        cut[end[end < len(cut)]] |= ~np.isin(end[end < len(cut)], at)
+    starts, ends = runs(inside, offs, cut)
+    long = np.flatnonzero(ends - starts > PIECE_BYTES)
+    times = (ends[long] - starts[long] - 1) // PIECE_BYTES
+    more = np.repeat(starts[long], times) + PIECE_BYTES * (1 + spread(np.zeros(len(long), np.int64), times))
+    for _ in range(3):  # to where a character begins
+        more[(body[more] & 0xC0) == 0x80] += 1
+    cut[more[more < np.repeat(ends[long], times)]] = True
+    return inside, cut
 
 
 def words_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Folded bytes, starts, ends and rows of the words: runs of ASCII letters and characters outside ASCII."""
+    """Folded bytes, starts, ends and rows of the words: runs of ASCII letters and characters outside ASCII.
+
+    Punctuation outside ASCII ends a word; a long word, or one of a script without spaces, is cut into pieces.
+    """
     body = LOWERED[data]
     lead = latin_letters(data)[2]
     tail = data[lead + 1]
     upper = (tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97)
     body[lead[upper] + 1] += 32
-    starts, ends = runs(_IN_WORD[body[:-8]], offs)
+    inside, cut = _pieces(body, offs)
+    starts, ends = runs(inside, offs, cut)
     return body, starts, ends, rows_of(starts, offs)
 
 
 def word_features(word: bytes, lexicon: dict[bytes, int]) -> list[int]:
-    """Hashed features of one word; long words are described by their first and last forty bytes."""
-    w = b"<" + (word if len(word) <= 80 else word[:40] + word[-40:]) + b">"
+    """Hashed features of one word."""
+    w = b"<" + word + b">"
     named = [b"p" + w[:k] for k in (2, 3, 4)] + [b"s" + w[-k:] for k in (2, 3, 4)]
     named += [w[i : i + 2] for i in range(len(w) - 1)] + [w[i : i + 3] for i in range(len(w) - 2)]
     named.append(b"l%d" % lexicon.get(word, -1))

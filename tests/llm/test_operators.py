@@ -188,6 +188,28 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r.score <= 1 for k, r in got.items())
 
 
+def test_language_of_long_runs(spark):
+    """All characters of a text without spaces are in words of a bounded size, and its middle decides its language."""
+    from bankops.llm.registry import ship
+    from bankops.llm.text import text_slices
+
+    rng = np.random.default_rng(4)
+    zh, ja = "的一是不了人我在有他这中大来上国", "のにはをたがでてとしれさあいうえ"
+    made = lambda letters, n: "".join(rng.choice(list(letters), n))
+    texts = [made(zh, 999), "y" * 500, "x日本語です、テスト。", "é" * 200, "", "ภาษาไทย𠀀𠀁"]
+    (_, _, data, offs), = text_slices(__import__("pyarrow").array(texts))
+    body, a, b, row = language.words_of(data, offs)
+    pieces = [body[i:j].tobytes().decode() for i, j in zip(a, b)]
+    assert max(j - i for i, j in zip(a, b)) <= language.PIECE_BYTES + 3
+    for r, t in enumerate(texts):
+        assert "".join(p for p, q in zip(pieces, row) if q == r) == t.replace("、", "").replace("。", "")
+    rows = [(k, made((zh, ja)[k % 2], 60), ("zh", "ja")[k % 2]) for k in range(200)]
+    rows += [(1000 + k, made(zh, 20) + made(ja, 900) + made(zh, 20), None) for k in range(4)]
+    ship(spark)
+    got = {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[k] == lang for k, _, lang in rows[:200]) and all(got[1000 + k] == "ja" for k in range(4))
+
+
 def test_sharding(spark, docs, texts, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "s"), bucket_bytes=1 << 14)
     rows = sharding.digest(spark, str(tmp_path / "s")).collect()
