@@ -55,3 +55,13 @@ def components(edges: DataFrame) -> DataFrame:
         if digest == seen:
             return rows.distinct()
         seen = digest
+
+
+def id_edges(rows: DataFrame, id_col: str, node_col: str) -> DataFrame:
+    """Edges (a, b) between the nodes of rows that share an id: each to the smallest of its id. Null ids share nothing.
+
+    Ids of one node, as a rule all of them, end in the first count, which holds two numbers for an id.
+    """
+    known = rows.where(F.col(id_col).isNotNull() & F.col(node_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(node_col).alias("a"))
+    ends = known.groupBy("id").agg(F.min("a").alias("b"), F.max("a").alias("high")).where("b < high").select("id", "b")
+    return known.distinct().join(ends, "id").where("a != b").select("a", "b")

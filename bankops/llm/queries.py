@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankops.llm import binary_ids, decontamination, jaccard, language, licenses, packing, pii, quality, sharding, sql, token_counts
+from bankops.llm import (
+    binary_ids, decontamination, filter_audit, importance, jaccard, language, licenses, packing, pii, quality, sharding, simhash, sql,
+    token_counts,
+)
 from bankops.llm.registry import ORACLES, QUERIES, query, read
 from bankops.session import scratch_path
 
@@ -63,3 +66,18 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_pii")
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_report(read(spark, folder, "documents"))
+
+
+@query("op11_filter_audit", sql.AUDIT)
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op12_importance", sql.IMPORTANCE)
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"), max_words=1)
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_components(read(spark, folder, "documents"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from bankops.llm import jaccard, quality
+from itertools import permutations
+
+from bankops.llm import filter_audit, importance, jaccard, quality
 
 _WORDS = r"[^\x20\x09-\x0D]+"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # shingles, pairs that share one, links, and what can be reached by links
 JACCARD = rf"""
@@ -69,3 +72,69 @@ beyond AS (
     ON t.measure = m.measure AND t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source WHERE m.x > t.fence)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND beyond.rid IS NULL AS kept
 FROM f LEFT JOIN beyond ON beyond.rid = f.rid"""
+
+
+_ORDERS = " ".join(f"SELECT '{''.join(o)}' AS filter_order UNION ALL" for o in permutations(filter_audit.FILTERS)).removesuffix(" UNION ALL")
+_BIT = lambda letters: "(" + " + ".join(f"CASE WHEN contains({letters}, '{x}') THEN {1 << i} ELSE 0 END" for i, x in enumerate(filter_audit.FILTERS)) + ")"
+
+AUDIT = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_WORDS}') AS ws, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+m AS (
+    SELECT part, doc_id, CASE WHEN len(ws) < {filter_audit.LEAST_WORDS} THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(ws)) < {filter_audit.LEAST_DISTINCT} * len(ws) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {filter_audit.MOST_UPPER} * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l ON l.doc_id = m.doc_id GROUP BY ALL),
+o AS (SELECT filter_order, step, {_BIT("substr(filter_order, step, 1)")} AS bit, {_BIT("substr(filter_order, 1, step - 1)")} AS before
+      FROM ({_ORDERS}), (SELECT CAST(unnest(range(1, {len(filter_audit.FILTERS) + 1})) AS INTEGER) AS step))
+SELECT part, filter_order, step,
+    CAST(sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+    CAST(sum(CASE WHEN mask & bit <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END) AS BIGINT) AS shapley
+FROM c, o GROUP BY part, filter_order, step"""
+
+# CRC-32 of the distinct words, byte by byte
+IMPORTANCE = rf"""
+WITH step AS (
+    SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM (SELECT unnest(range(256)) AS b)),
+d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+    FROM documents),
+q AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}')) AS w
+    FROM benchmark),
+v AS (SELECT DISTINCT w, hex(encode(w)) AS x FROM (SELECT unnest(ws) AS w FROM d UNION ALL SELECT w FROM q)),
+k AS (
+    SELECT w, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % {importance.BUCKETS} AS bucket
+    FROM v, step),
+s AS (SELECT bucket, count(*) AS n FROM (SELECT unnest(ws) AS w FROM d) JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM q JOIN k USING (w) GROUP BY bucket),
+g AS (
+    SELECT b.bucket, CAST(floor(1000 * ln(
+        CAST((coalesce(t.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s) + {importance.BUCKETS}) AS DOUBLE)
+        / CAST((coalesce(s.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + {importance.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+    FROM (SELECT unnest(range({importance.BUCKETS})) AS bucket) b LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket),
+r AS (SELECT row_number() OVER () AS rid, doc_id, ws FROM d),
+m AS (
+    SELECT rid, sum(gain) AS total FROM (SELECT rid, unnest(ws) AS w FROM r) JOIN k USING (w) JOIN g USING (bucket) GROUP BY rid),
+e AS (
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features,
+        CASE WHEN len(ws) = 0 THEN 0 ELSE CAST((total - ((total % len(ws)) + len(ws)) % len(ws)) // len(ws) AS BIGINT) END AS weight,
+        CAST('0x' || substr(sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+    FROM r LEFT JOIN m ON m.rid = r.rid),
+f AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM e),
+a AS (
+    SELECT *, CASE WHEN n_features >= {importance.LEAST_WORDS} THEN
+        row_number() OVER (PARTITION BY n_features >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) END AS rank,
+        (SELECT count(*) FROM f WHERE n_features >= {importance.LEAST_WORDS}) * {importance.PERCENT} // 100 AS draw FROM f)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= draw THEN rank END AS rank FROM a"""
