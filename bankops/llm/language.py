@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, rows_of,
 from bankops.llm.tokens import latin_letters
 
 TRAIN_DOCS = 2000  # bound of the training sample, in documents
-TRAIN_BYTES = 20_000  # longest text in it
+TRAIN_CHARS = 20_000  # longest piece of a text in it
 MOST_LANGUAGES = 500
 FEATURES = 1 << 15
 SEQUENCES, SEQUENCE_WORDS, SPAN_WORDS = 3000, 64, 16
@@ -104,7 +104,7 @@ def marginals(scores: np.ndarray, first: np.ndarray, initial: np.ndarray, trans:
     rows = -(-n // width)
     e = np.ones((rows * width, labels))
     e[:n] = np.exp(scores - scores.max(axis=1, keepdims=True))
-    new = np.zeros(rows * width, bool)
+    new = np.ones(rows * width, bool)  # padding starts sequences of its own, so the last one ends where it ends
     new[:n] = first
     e, new = e.reshape(rows, width, labels).transpose(1, 0, 2).copy(), new.reshape(rows, width).T.copy()
     pi, a = np.exp(initial), np.exp(trans)
@@ -167,7 +167,11 @@ class Model:
 
 
 def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
-    """Fit on labelled texts: every second one for the lexicon, the others for weights and transitions (adaptive gradient)."""
+    """Fit on labelled texts: of each language every second one for the lexicon, the others for weights and transitions.
+
+    A language's only text serves for both. Sequences draw the language of each span first, then a text, so rare languages are learned
+    like frequent ones (adaptive gradient).
+    """
     labels = sorted(set(langs))
     code, rng = {x: i for i, x in enumerate(labels)}, np.random.default_rng(seed)
     held: list[tuple[list[bytes], int]] = []
@@ -177,12 +181,13 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
         raw = body.tobytes()
         held.append(([raw[i:j] for i, j in zip(a.tolist(), b.tolist())], code[lang]))
     counts: dict[bytes, np.ndarray] = {}
-    for words, y in held[::2]:
+    by_label = [[words for words, y in held if y == k and words] for k in range(len(labels))]
+    for y, words in ((y, words) for y, of in enumerate(by_label) for words in of[::2]):
         for w in words:
             counts.setdefault(w, np.zeros(len(labels)))[y] += 1
     # what the lexicon says: the language, and how sure it is
     lexicon = {w: int(c.argmax()) * 4 + min(3, int(np.log2(c.max()))) + 1000 * int(c.max() < 0.9 * c.sum()) for w, c in counts.items() if c.sum() > 1}
-    pool = [(w, y) for w, y in (held[1::2] or held) if len(w) >= 1]
+    pool = [(of[1::2] or of, y) for y, of in enumerate(by_label) if of]
     if not pool:
         return Model(labels, np.zeros((FEATURES, len(labels)), np.float32), np.zeros(len(labels)), np.zeros((len(labels),) * 2), lexicon)
     number: dict[bytes, int] = {}
@@ -190,7 +195,8 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     for s in range(SEQUENCES):
         k = 0
         while k < SEQUENCE_WORDS:  # spans of several documents: text that switches language
-            words, y = pool[rng.integers(len(pool))]
+            of, y = pool[rng.integers(len(pool))]
+            words = of[rng.integers(len(of))]
             at = rng.integers(max(1, len(words) - SPAN_WORDS))
             for w in words[at : at + SPAN_WORDS][: SEQUENCE_WORDS - k]:
                 seqs[s, k], ys[s, k] = number.setdefault(w, len(number)), y
@@ -237,27 +243,35 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_docs: int = TRAIN_DOCS) -> Model:
     """Fit on a sample of the rows with a language and a text, spread evenly over languages.
 
-    The sample has about ``most_docs`` texts of TRAIN_BYTES at most, chosen by a hash of the id.
+    Each language gives its ``most_docs / languages`` rows of the smallest hashes of id and text, so every language is learned, and the
+    sample does not depend on partitions. Of a text over ``TRAIN_CHARS`` it takes a piece of that length from a place that the hash
+    names. More than ``MOST_LANGUAGES`` languages are an error.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= TRAIN_BYTES))
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).agg(F.count("*")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not counts:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0), np.zeros((0, 0)), {})
-    each = most_docs // len(counts)
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, each / n) * 1_000_000))))
-    picked = rows.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < share[F.col(lang_col)])
-    sample = picked.select(F.col(id_col).cast("string").alias("k"), text_col, lang_col).limit(2 * most_docs).collect()
-    sample.sort(key=lambda r: (zlib.crc32((r[0] or "").encode()), r[0] or "", r[1]))
-    return fit([r[1] for r in sample], [r[2] for r in sample])
+    each = max(2, most_docs // len(counts))
+    # hashes up to a share that holds twice as many rows as are taken; a language of few rows gives all to the ranking
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, 1.0 if n < 100 * each else 2 * each / n)))
+    hashed = rows.withColumn("_h", F.xxhash64(F.col(id_col).cast("string"), text_col))
+    picked = hashed.where(F.shiftrightunsigned("_h", 11).cast("double") <= share[F.col(lang_col)] * F.lit(2.0**53))
+    spare = F.greatest(F.length(text_col) - TRAIN_CHARS, F.lit(0))
+    piece = F.substr(F.col(text_col), (F.pmod("_h", spare + 1) + 1).cast("int"), F.lit(TRAIN_CHARS))
+    picked = picked.select("_h", F.col(lang_col).alias("lang"), piece.alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text"))
+    sample = picked.withColumn("_place", place).where(F.col("_place") <= each).select("_h", "lang", "text").collect()
+    sample.sort(key=lambda r: (r[1], r[0], r[2]))
+    return fit([r[2] for r in sample], [r[1] for r in sample])
 
 
 _known: dict[str, tuple[HashTable, list]] = {}
 
 
-def _labelled(model: Model, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors of the words of a slice and the words' rows; scores of words met before are kept in the process."""
+def _labelled(model: Model, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Posteriors of the words of a slice, the words' rows, starts and ends; scores of words met before are kept in the process."""
     body, starts, ends, row = words_of(data, offs)
     if model.key not in _known:
         _known.clear()
@@ -280,13 +294,39 @@ def _labelled(model: Model, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndar
         index[missing] = found.find(h[missing])
     first = np.ones(len(row), bool)
     first[1:] = row[1:] != row[:-1]
-    return marginals(held[0][index].astype(np.float64), first, model.initial, model.trans)[0], row
-
-
-def predict(docs: DataFrame, model: Model, keep: dict[str, str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` (new name: column), lang_pred and score of every row; reads nothing but the text to predict."""
+    return marginals(held[0][index].astype(np.float64), first, model.initial, model.trans)[0], row, starts, ends
+
+
+def _spans(post: np.ndarray, row: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, offs: np.ndarray, names: np.ndarray, lettered: np.ndarray) -> pa.Array:
+    """Of each row the runs of consecutive words of one language: start, end (code points), lang, score."""
+    best = post.argmax(axis=1) if len(row) else np.zeros(0, np.int64)
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (best[1:] != best[:-1])
+    edge = np.flatnonzero(new)
+    size = np.diff(np.append(edge, len(row)))
+    mean = np.add.reduceat(post[np.arange(len(row)), best], edge) / size if len(edge) else np.zeros(0)
+    keep = lettered[row[edge]] if len(edge) else np.zeros(0, bool)
+    edge, size, mean = edge[keep], size[keep], mean[keep]
+    points = np.append(0, np.cumsum((data[:-8] & 0xC0) != 0x80))
+    at = lambda x: pa.array((points[x] - points[offs[row[edge]]]).astype(np.int32))
+    each = pa.StructArray.from_arrays(
+        [at(starts[edge]), at(ends[edge + size - 1]), pa.array(names[best[edge]], pa.string()), pa.array(np.clip(mean, 0, 1))],
+        ["start", "end", "lang", "score"],
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row[edge], np.arange(len(offs))).astype(np.int32)), each)
+
+
+def predict(docs: DataFrame, model: Model, keep: dict[str, str], text_col: str = "text", spans: bool = False) -> DataFrame:
+    """The columns ``keep`` (new name: column), lang_pred and score of every row; reads nothing but the text to predict.
+
+    With ``spans`` also the runs of words of one language, as array<struct<start, end, lang, score>> in code points, end
+    exclusive, score the words' mean posterior: the parts of a text that switches language. A text without letters has none.
+    """
     fields = [T.StructField(new, docs.schema[old].dataType) for new, old in keep.items()]
     fields += [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if spans:
+        span = [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]
+        fields.append(T.StructField("spans", T.ArrayType(T.StructType(span))))
     n_labels = len(model.labels)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,28 +338,33 @@ def predict(docs: DataFrame, model: Model, keep: dict[str, str], text_col: str =
                 lettered = ascii_letters[offs[1:]] > ascii_letters[offs[:-1]]
                 for r in np.flatnonzero(~lettered & (offs[1:] > offs[:-1])):
                     lettered[r] = any(c.isalpha() for c in data[offs[r] : offs[r + 1]].tobytes().decode())
+                none = np.zeros(0, np.int64)
+                post, row, starts, ends = np.zeros((0, n_labels)), none, none, none
                 if n_labels and lettered.any():
-                    post, row = _labelled(model, data, offs)
+                    post, row, starts, ends = _labelled(model, data, offs)
                     total = np.stack([np.bincount(row, post[:, k], hi - lo) for k in range(n_labels)], axis=1)
                     share = total / np.maximum(total.sum(axis=1, keepdims=True), 1e-12)
                     best[lettered] = share.argmax(axis=1)[lettered]
                     score[lettered] = np.clip(share.max(axis=1)[lettered], 0, 1)
                 rest = [batch.column(k + 1).slice(lo, hi - lo) for k in range(len(keep))]
                 out = [*rest, pa.array(names[best], pa.string()), pa.array(score)]
+                if spans:
+                    out.append(_spans(post, row, starts, ends, data, offs, names, lettered))
                 yield pa.RecordBatch.from_arrays(out, [f.name for f in fields])
 
     rows = docs.select(text_col, *(F.col(old).alias(new) for new, old in keep.items()))
     return rows.mapInArrow(label, T.StructType(fields))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row.
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", spans: bool = False) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row, and with ``spans`` the parts of its text by language (see ``predict``).
 
     Learns from rows whose crc32 of the id (as text) mod 4 is not 2; a null id counts as held out. A text that is null or has no
-    letter is ``und`` with score 0; so is every text when no row has a language. Repeated rows are predicted each.
+    letter is ``und`` with score 0 and no parts; so is every text when no row has a language. Repeated rows are predicted each, and
+    equal texts alike. Long texts are read whole. Other columns are not read. An empty table gives no rows.
     """
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
     model = learn(docs.where(~held_out), id_col, text_col, lang_col)
-    out = predict(docs, model, {"doc_id": id_col}, text_col)
+    out = predict(docs, model, {"doc_id": id_col}, text_col, spans)
     again = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
-    return out.select("doc_id", again.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", again.alias("held_out"), "lang_pred", "score", *(["spans"] if spans else []))
