@@ -34,7 +34,7 @@ BASE = {
 KINDS = [*BASE, "iban", "secret", "ssn"]
 # the generators: kind, a cheap test, pattern
 GENERATORS = [
-    ("email", r"(?i)[A-Za-z0-9._%+-] ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]{1,63}+ ?[(\[]? ?(?:\bdot\b|\.) ?[)\]]? ?[A-Za-z]{2,12}+"),
+    ("email", r"(?i)[A-Za-z0-9._%+-] ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[(\[]? ?\bat\b ?[)\]]? ?[A-Za-z0-9-]{1,63}+ ?[(\[]? ?(?:\bdot\b|\.) ?[)\]]? ?[A-Za-z]{2,12}+"),
     ("phone", "[0-9]-[0-9]", r"(?<![0-9+.-])[0-9]{2,4}+-[0-9]{3,4}+-[0-9]{3,4}+(?![0-9.-])"),
     ("phone", r"\([0-9]", r"\([0-9]{2,4}\) ?[0-9]{3,4}+[ .-][0-9]{3,4}+(?![0-9])"),
     ("phone", "[0-9][. ][0-9]", r"(?<![0-9+.-])[0-9]{3}+[. ][0-9]{3}+[. ][0-9]{4}+(?![0-9.-])"),
@@ -42,8 +42,8 @@ GENERATORS = [
     ("card", "[0-9]{4}[._/][0-9]", r"(?<![0-9.])[0-9]{4}+[._/][0-9]{4}+[._/][0-9]{4}+[._/][0-9]{4}+(?![0-9.])"),
     ("iban", "[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?(?![A-Za-z0-9])"),
     ("ssn", "[0-9]-[0-9]{2}-[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("secret", "[:=]", r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[ _-]?key)[\"']? {0,3}[:=] {0,3}[\"']?[^\s\"']{8,200}+"),
-    ("secret", "[0-9a-f]{32}", r"(?<![0-9A-Za-z])[0-9a-f]{32,64}+(?![0-9A-Za-z])"),
+    ("secret", "[:=]", r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[ _-]?key)[\"']? {0,3}[:=] {0,3}[\"']?[^\s\"']{8,}+"),
+    ("secret", "[0-9A-Fa-f]{32}", r"(?i)(?<![0-9a-z])[0-9a-f]{32,}+(?![0-9a-z])"),
 ]
 AROUND = 24  # characters of context on each side
 FIT_ROWS, CHECK_ROWS, TREES, DEPTH, SEED = 3000, 1500, 8, 3, 11
@@ -154,6 +154,8 @@ def made_rows(spark: SparkSession, n: int, seed: int) -> DataFrame:
         (lambda: f"{num(3)}-1{num(1)}-{num(4)}", "ssn|social security|tax id|number"),
         (lambda: f'{rng.choice(["token", "secret", "api_key", "password"])} = "{hexes(40)}', "with|set|the|config"),
         (lambda: hexes(32), "token|secret key|credential|password"),
+        (lambda: hexes(rng.choice([64, 128])).upper(), "token|SECRET KEY|credential|Password"),
+        (lambda: f'{rng.choice(["token", "secret", "api_key", "password"])}: {hexes(rng.choice([20, 200, 400]))}', "with|set|the|config"),
     ]
     bad = [
         (lambda: f"{word()} at {word()}. {word().title()}", "we met|they looked|arrived with|the"),
@@ -167,6 +169,7 @@ def made_rows(spark: SparkSession, n: int, seed: int) -> DataFrame:
         (lambda: f"000-0{num(1)}-{num(4)}", "part|order|page|ref"),
         (lambda: "password: (required)", "field|form|enter|the"),
         (lambda: hexes(40), "commit|hash|build|sha"),
+        (lambda: hexes(64).upper(), "COMMIT|hash|build|sha"),
     ]
     rows = []
     for _ in range(n):
@@ -243,7 +246,9 @@ def overlaps(a: Column, b: Column) -> Column:
 def find_pii(docs: DataFrame, keep: dict[str, str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` (new name: column), base (map of kind to spans), spans (array of kind, s, e, p) of every row.
 
-    ``spans`` is by kind as in KINDS, then start; p is 1 for base spans. A null text is an empty one with no spans.
+    ``spans`` is by kind as in KINDS, then start; p is 1 for base spans. Of candidates that overlap the more probable one stays, of
+    equally probable ones the first. A null text is an empty one with no spans; texts are read whole, repeated rows each. Names of other
+    columns cannot clash: only ``keep`` and the text are read. An empty table gives no rows.
     """
     model = detector(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -287,7 +292,7 @@ def written(spans: Column) -> Column:
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row; code points, end exclusive.
 
-    A null id is kept; repeated rows are scanned each; a text without personal data has empty spans.
+    A null id is kept; repeated rows are scanned each; a text without personal data has empty spans. See ``find_pii``.
     """
     rows = find_pii(docs, {"doc_id": id_col}, text_col)
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
