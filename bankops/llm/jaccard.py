@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankops.llm.components import components, union_min
+from bankops.llm.components import components, id_edges, union_min
 from bankops.llm.text import LOWERED, SPACE, HashTable, U, hash_runs, mixed, rows_of, runs, text_slices, window_hashes
 from bankops.session import stored
 
@@ -116,10 +116,10 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = HashTable()
         frequent.add(listed, np.arange(len(listed), dtype=np.int32))
-        names = ["block", "doc_id", "a", "n", "shown", "before", "packed"]
+        names = ["block", "doc_id", "text_hash", "a", "n", "shown", "before", "packed"]
         for batch in batches:
             codes_held, sums_held, size_held = [], [], []
-            for lo, hi, data, offs in text_slices(batch.column(1)):
+            for lo, hi, data, offs in text_slices(batch.column(2)):
                 codes, row = distinct_sets(*ngrams(data, offs, words), frequent)
                 size, start, sums = set_sums(codes, row, hi - lo)
                 show = size - -(-percent * size // 100) + 1
@@ -132,7 +132,7 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
                 keep = np.arange(len(codes)) - start[row] < show[row]
                 codes, row = codes[keep], row[keep]
                 out = [
-                    pa.array(np.mod(sums, blocks).astype(np.int32)), batch.column(0).slice(lo, n), pa.array(sums),
+                    pa.array(np.mod(sums, blocks).astype(np.int32)), batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(sums),
                     pa.array(size.astype(np.int32)),
                     pa.array(last.astype(np.int32)),
                     pa.ListArray.from_arrays(
@@ -170,7 +170,7 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
             number = np.append(np.arange(blocks), -1 - int(codes[0] % U(blocks)) if len(codes) else -1)
             m = blocks + 1
             out = [
-                pa.array(number.astype(np.int32)), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int64()),
+                pa.array(number.astype(np.int32)), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32())), pa.array(packed, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(out, names)
@@ -210,7 +210,7 @@ def _pairs_of(
 
 def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as they are; of each block the pairs with counts, and ties with count 0."""
-    names = ["kind", "doc_id", "a", "b", "n", "shown", "before"]
+    names = ["kind", "doc_id", "text_hash", "a", "b", "n", "shown", "before"]
     held: dict[int, list[bytes]] = {}
     kind = None
     for batch in batches:
@@ -218,7 +218,7 @@ def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         is_doc = batch.column("packed").is_null()
         docs = batch.filter(is_doc)
         if docs.num_rows:
-            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("shown"), docs.column("before")]
+            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("text_hash"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("shown"), docs.column("before")]
             yield pa.RecordBatch.from_arrays(out, names)
         packed = batch.filter(pa.compute.invert(is_doc))
         for number, blob in zip(packed.column("block").to_pylist(), packed.column("packed").to_pylist()):
@@ -226,7 +226,7 @@ def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
     def rows(word: str, pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         m = len(pairs)
-        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32()))]
+        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(out, names)
 
     for number, blobs in held.items():
@@ -325,13 +325,13 @@ def jaccard_components(
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row.
 
     Two documents link when 100 * overlap >= percent * union of their sets. A null text or one without words has an empty set,
-    links with nothing and is its own component. Rows that repeat an id each count with their own text, and components meet in
-    the id. A row with a null id gets its size, a null component, and takes no part in links. Other columns are not read.
-    An empty table gives no rows.
+    links with nothing and is its own component. Rows that repeat an id are one document: each row has the set of its own text, links
+    of each count for all, and all get the same component. A row with a null id gets its size, a null component, and takes no part
+    in links. Very long texts are read whole. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(max(16, -(-total // BLOCK_BYTES)))
 
@@ -341,12 +341,12 @@ def jaccard_components(
     listed = np.array(listed, np.int64).view(U)
 
     packed = T.StructType([
-        T.StructField("block", T.IntegerType()), T.StructField("doc_id", id_type), T.StructField("a", T.LongType()),
+        T.StructField("block", T.IntegerType()), T.StructField("doc_id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("a", T.LongType()),
         T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
         T.StructField("before", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType()),
     ])
     counted = T.StructType([
-        T.StructField("kind", T.StringType()), T.StructField("doc_id", id_type), T.StructField("a", T.LongType()),
+        T.StructField("kind", T.StringType()), T.StructField("doc_id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("a", T.LongType()),
         T.StructField("b", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
         T.StructField("before", T.ArrayType(T.IntegerType())),
     ])
@@ -356,7 +356,9 @@ def jaccard_components(
     sets = found.where("kind = 'doc'").select("doc_id", "a", "n")
     classes = found.where("kind = 'doc' and doc_id is not null and n > 0").groupBy("a")
     largest = [F.max(c).alias(c) for c in ("n", "shown", "before")]  # equal in a class
-    classes = stored(classes.agg(F.min("doc_id").alias("first_id"), *largest))
+    # a class takes its text from one row: of the rows of its smallest id, which may have several texts, one of the class
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = stored(classes.agg(first, *largest).select("a", "first.*", "n", "shown", "before").withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"}))
 
     # discard pairs that cannot reach the overlap their sizes demand
     p = F.lit(percent)
@@ -378,10 +380,10 @@ def jaccard_components(
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
     # sets that link differ in size by the band's width at most, so they lie in one band or in neighbouring ones
     width = 1.001 * max(math.log(100 / percent), 1e-6)
-    members = groups.join(sizes, "grp").join(classes.select("a", "first_id", F.floor(F.log("n") / width).alias("band")), "a")
+    members = groups.join(sizes, "grp").join(classes.select("a", "first_id", "first_hash", F.floor(F.log("n") / width).alias("band")), "a")
     alike = members.groupBy("grp", "band").agg(F.count("*").alias("alike"))
     members = members.join(alike, ["grp", "band"])
-    with_text = members.join(rows.withColumnRenamed("doc_id", "first_id"), "first_id")
+    with_text = members.join(rows.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"}), ["first_id", "first_hash"])
     with_text = stored(with_text.select("grp", "members", "band", "alike", "a", "text"))
 
     spread_ = F.xxhash64("a", F.lit(7))
@@ -417,11 +419,15 @@ def jaccard_components(
         more = both.groupBy("task").applyInArrow(verify, "a long, b long")
         edges = stored(edges.union(more))
 
-    linked = components(edges).withColumnsRenamed({"node": "a"})
+    # rows of one id are one document, whose links are those of all its texts
+    own = sets.where("n > 0")
+    linked = components(edges.union(id_edges(own, "doc_id", "a"))).withColumnsRenamed({"node": "a"})
     smallest = linked.join(classes.select("a", "first_id"), "a").groupBy("component").agg(F.min("first_id").alias("smallest"))
     ends = linked.join(smallest, "component").select("a", "smallest")
     ids = classes.join(ends, "a", "left").select("a", F.coalesce("smallest", "first_id").alias("smallest"))
-    out = sets.join(ids, "a", "left")
-    own = F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), own)
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    out = own.join(ids, "a", "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("smallest")).alias("component_id"))
+    # a row without words is its own component, unless its id has another row with words
+    empty = sets.where("n = 0")
+    other = own.join(empty.select("doc_id").distinct(), "doc_id", "left_semi").join(ids, "a").groupBy("doc_id").agg(F.min("smallest").alias("smallest"))
+    empty = empty.join(other, "doc_id", "left").select("doc_id", "n", F.coalesce("smallest", "doc_id").alias("component_id"))
+    return out.union(empty).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

@@ -2,8 +2,13 @@
 
 Measures of each text are made in one pass. Their distribution in each (language, source) is kept as a mergeable quantile
 sketch: counts of logarithmic buckets, a few hundred at most for a measure, so partial sketches add up in any order to the
-same result, and a quantile is right within 2 percent. Small groups take the sketch of their language, which is the sum of
-its groups' sketches, then that of all. Thresholds come from quantiles and are joined to the documents.
+same result, and a quantile is right within 2 percent. A language's sketch is the sum of its groups', that of all rows the sum of the
+languages'.
+
+A measure's fence stands above its upper quartile by ``SPREAD`` times the quartiles' distance, or, where most texts show nothing and the
+quartiles lie together, by what a few events are in a text of the group's median size. Both come from the group's own sketch. A group's fence
+is blended with its language's, and that with the one of all rows, by numbers of documents, so small groups lean on larger ones.
+Thresholds are joined to the documents.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,18 +31,19 @@ SYMBOLS = table(b"#*$%&|<>")
 LEAST_WORDS, MOST_REPEATED = 20, 30
 # the method's own
 GROWTH = math.log(1.02)
-LEAST_ROWS = 200  # fewer documents in a group: the language's sketch
-SPREAD = 3.0  # fences stand at the quartiles plus or minus so many times their distance
+PRIOR = 200  # documents that the wider group's fence counts for
+SPREAD = 6.0  # fences stand above the upper quartile by so many times the quartiles' distance
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-# measure: (value in thousandths, smallest distance of the upper fence from the upper quartile)
+# measure: (counted, among, counted units that are few in a text); in thousandths
 MEASURES = {
-    "symbol_share": ("1000 * n_symbols / n_words", 200),
-    "word_length": ("1000 * word_chars / n_words", 2500),
-    "upper_share": ("1000 * n_upper / word_chars", 300),
-    "dup_line_share": ("1000 * n_dup_lines / n_lines", 500),
-    "repeat_share": ("1000 * n_repeat_words / n_words", 300),
-    "stutter_share": ("1000 * n_stutter / n_words", 200),
+    "symbol_share": ("n_symbols", "n_words", 8),
+    "word_length": ("word_chars", "n_words", 0),
+    "upper_share": ("n_upper", "word_chars", 20),
+    "dup_line_share": ("n_dup_lines", "n_lines", 3),
+    "repeat_share": ("n_repeat_words", "n_words", 6 * WINDOW),
+    "stutter_share": ("n_stutter", "n_words", 8),
 }
+SIZES = ["n_words", "word_chars", "n_lines"]
 
 
 def counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
@@ -117,16 +123,19 @@ def measure(docs: DataFrame, keep: dict[str, str], text_col: str = "text") -> Da
     return rows.mapInArrow(measured, T.StructType(fields))
 
 
-def _bucket(value):
+def _bucket(value: Column) -> Column:
     return F.when(value < 1, 0).otherwise(F.floor(F.log(value) / GROWTH) + 1).cast("int")
 
 
+def _value(name: str) -> Column:
+    over, under, _ = MEASURES[name]
+    return F.try_divide(1000.0 * F.col(over), F.col(under))
+
+
 def _measures(rows: DataFrame) -> DataFrame:
-    """A row for each document and measure: group columns, name, bucket; documents that the base rules reject are not counted."""
-    named = [
-        F.struct(F.lit(name).alias("measure"), _bucket(F.expr(f"try_divide(cast({value.split(' / ')[0]} as double), {value.split(' / ')[1]})")).alias("bucket"))
-        for name, (value, _) in MEASURES.items()
-    ]
+    """A row for each document and measure or size: group columns, name, bucket; documents that the base rules reject are not counted."""
+    values = {m: _value(m) for m in MEASURES} | {c: F.col(c).cast("double") for c in SIZES}
+    named = [F.struct(F.lit(name).alias("measure"), _bucket(value).alias("bucket")) for name, value in values.items()]
     return rows.where("not base_failed").select("lang", "source", F.explode(F.array(*named)).alias("m")).select("lang", "source", "m.*")
 
 
@@ -136,7 +145,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """For each group and measure: rows and the upper fence, from the merged sketch.
+    """For each group: its rows, and of each measure the fence and ``{measure}_spread``: did the quartiles' distance decide it?
 
     The window holds one group's buckets of one measure, some hundreds whatever the corpus.
     """
@@ -146,26 +155,33 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     merged = merged.withColumns({"upto": upto, "rows": F.sum("n").over(group)})
     # the bucket's upper edge
     value = F.when(F.col("bucket") == 0, 0.0).otherwise(F.exp(F.col("bucket") * F.lit(GROWTH)))
-    quantile = lambda q: F.min(F.when(F.col("upto") >= F.col("rows") * q, value))
-    out = merged.groupBy(*keys, "measure").agg(F.max("rows").alias("rows"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
-    floor = F.create_map(*(x for name, (_, low) in MEASURES.items() for x in (F.lit(name), F.lit(float(low)))))
-    fence = F.col("q3") + F.greatest(F.lit(SPREAD) * (F.col("q3") - F.col("q1")), floor[F.col("measure")])
-    return out.select(*keys, "measure", "rows", fence.alias("fence"))
+    quantile = lambda q, m: F.min(F.when((F.col("measure") == m) & (F.col("upto") >= F.col("rows") * q), value))
+    found = [quantile(q, m).alias(f"{m}_{tag}") for m in MEASURES for q, tag in ((0.25, "low"), (0.75, "high"))]
+    found += [quantile(0.5, c).alias(f"{c}_half") for c in SIZES]
+    out = merged.groupBy(*keys).agg(F.max("rows").alias("rows"), *found)
+    wide, few = {}, {}
+    for m, (_, under, events) in MEASURES.items():
+        wide[m] = F.lit(SPREAD) * (F.col(f"{m}_high") - F.col(f"{m}_low"))
+        few[m] = F.coalesce(F.try_divide(F.lit(1000.0 * events), F.col(f"{under}_half")), F.lit(0.0))
+    fence = [(F.col(f"{m}_high") + F.greatest(wide[m], few[m])).alias(m) for m in MEASURES]
+    return out.select(*keys, "rows", *fence, *((wide[m] >= few[m]).alias(f"{m}_spread") for m in MEASURES))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """Fences of every (lang, source) that has a sketch: its own, or its language's, or those of all rows."""
-    wide = lambda keys, tag: fences(sketch, keys).groupBy(*keys).agg(
-        F.max("rows").alias(f"rows_{tag}"),
-        *(F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"{m}_{tag}") for m in MEASURES),
-    )
-    own, by_lang, every = wide(["lang", "source"], "own"), wide(["lang"], "lang"), wide([], "all")
+    """Fences of every (lang, source) that has a sketch, blended with its language's and that of all rows by numbers of documents."""
+    tagged = lambda keys, tag: fences(sketch, keys).select(*keys, *(F.col(c).alias(f"{c}_{tag}") for c in ["rows", *MEASURES]))
+    own, by_lang, every = tagged(["lang", "source"], "own"), tagged(["lang"], "lang"), tagged([], "all")
     own = own.alias("o").join(by_lang.alias("l"), F.expr("o.lang <=> l.lang"), "left").drop(F.col("l.lang"))
     own = own.join(F.broadcast(every))  # one row
-    pick = lambda m: F.when(F.col("rows_own") >= LEAST_ROWS, F.col(f"{m}_own")).when(
-        F.col("rows_lang") >= LEAST_ROWS, F.col(f"{m}_lang")
-    ).otherwise(F.col(f"{m}_all"))
-    return own.select("lang", "source", *(pick(m).alias(f"{m}_fence") for m in MEASURES))
+
+    def blended(m: str) -> Column:
+        of = lambda tag: (F.coalesce(F.col(f"{m}_{tag}"), F.lit(0.0)), F.when(F.col(f"{m}_{tag}").isNotNull(), F.col(f"rows_{tag}")).otherwise(0))
+        out = F.col(f"{m}_all")
+        for value, n in (of("lang"), of("own")):
+            out = (n * value + PRIOR * out) / (n + PRIOR)
+        return out
+
+    return own.select("lang", "source", *(blended(m).alias(f"{m}_fence") for m in MEASURES))
 
 
 def judge(
@@ -179,8 +195,9 @@ def judge(
     """The columns ``keep``, the counts, ``base_failed`` and ``kept`` of every row.
 
     A null text is an empty one: no words, so the base rules reject it. A null language or source is a group of its own. A
-    measure that has no value (no lines, say) does not reject. Repeated rows are judged each. ``materialize`` stores the
-    measured rows, which are used twice; without it they are made twice.
+    measure that has no value (no lines, say) does not reject; a value on the fence is kept. Repeated rows are judged each, and equal
+    texts of one group alike. Long texts are measured whole. Only ``keep``, the text and the group columns are read, under names of
+    their own. An empty table gives no rows. ``materialize`` stores the measured rows, which are used twice; without it they are made twice.
     """
     rows = measure(docs, {**keep, "lang": lang_col, "source": source_col}, text_col)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
@@ -190,10 +207,8 @@ def judge(
     limits = thresholds(sketches(rows)).withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
     joined = rows.join(limits, F.expr("lang <=> t_lang and source <=> t_source"), "left")
     beyond = F.lit(False)
-    for name, (value, _) in MEASURES.items():
-        over, under = value.split(" / ")
-        x = F.expr(f"try_divide(cast({over} as double), {under})")
-        beyond = beyond | F.coalesce(x > F.col(f"{name}_fence"), F.lit(False))
+    for name in MEASURES:
+        beyond = beyond | F.coalesce(_value(name) > F.col(f"{name}_fence"), F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~beyond).select(*keep, *COUNTS, "base_failed", "kept")
 
 

@@ -9,38 +9,54 @@ from bankops.llm import filter_audit, importance, jaccard, quality
 _WORDS = r"[^\x20\x09-\x0D]+"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-# shingles, pairs that share one, links, and what can be reached by links
+# shingles of each row, pairs of rows that share one, links between ids, and what can be reached by links
 JACCARD = rf"""
 WITH RECURSIVE w AS (
-    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws
     FROM documents),
-p AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {jaccard.WORDS} + 2, 2))) AS i FROM w WHERE len(ws) > 0),
-s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + {jaccard.WORDS - 1}), ' ') AS gram FROM p),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= {jaccard.PERCENT} * (x.n + y.n - common)),
-e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-r AS (SELECT doc_id AS id, doc_id AS seen FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON r.seen = e.a),
+p AS (SELECT rid, ws, unnest(range(1, greatest(len(ws) - {jaccard.WORDS} + 2, 2))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT rid, array_to_string(list_slice(ws, i, i + {jaccard.WORDS - 1}), ' ') AS gram FROM p),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+o AS (SELECT x.rid AS a, y.rid AS b, count(*) AS common FROM s x JOIN s y ON x.gram = y.gram AND x.rid < y.rid GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * common >= {jaccard.PERCENT} * (x.n + y.n - common)),
+i AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM l JOIN w x ON x.rid = l.a JOIN w y ON y.rid = l.b WHERE x.doc_id <> y.doc_id),
+e AS (SELECT a, b FROM i UNION SELECT b, a FROM i),
+r AS (SELECT DISTINCT doc_id AS id, doc_id AS seen FROM documents WHERE doc_id IS NOT NULL UNION SELECT r.id, e.b FROM r JOIN e ON r.seen = e.a),
 c AS (SELECT id, min(seen) AS component_id FROM r GROUP BY id)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
-FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM w LEFT JOIN c ON c.id = w.doc_id LEFT JOIN n ON n.rid = w.rid"""
 
 _EACH = " UNION ALL ".join(
-    f"SELECT rid, lang, source, base_failed, '{name}' AS measure, CAST({low} AS DOUBLE) AS low, "
-    f"CAST({value.split(' / ')[0]} AS DOUBLE) / nullif({value.split(' / ')[1]}, 0) AS x FROM f"
-    for name, (value, low) in quality.MEASURES.items()
+    [f"SELECT rid, lang, source, base_failed, '{m}' AS measure, 1000.0::DOUBLE * {over} / nullif({under}, 0) AS x FROM f" for m, (over, under, _) in quality.MEASURES.items()]
+    + [f"SELECT rid, lang, source, base_failed, '{c}', CAST({c} AS DOUBLE) FROM f" for c in quality.SIZES]
 )
 
 
 def _fences(keys: list[str]) -> str:
-    """Rows and fence of each group and measure, from the sketch's buckets."""
+    """Rows and fences of each group, from the sketch's buckets."""
     by = "".join(f"{k}, " for k in keys)
-    return f"""SELECT {by}measure, max(total) AS n, q3 + greatest({quality.SPREAD} * (q3 - q1), low) AS fence FROM (
-        SELECT {by}measure, low, max(total) AS total, min(CASE WHEN upto >= total * 0.25 THEN edge END) AS q1, min(CASE WHEN upto >= total * 0.75 THEN edge END) AS q3
-        FROM (SELECT {by}measure, low, CASE WHEN bucket = 0 THEN CAST(0 AS DOUBLE) ELSE exp(bucket * growth) END AS edge,
-                sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS total
-              FROM (SELECT {by}measure, low, bucket, growth, count(*) AS n FROM k GROUP BY ALL))
-        GROUP BY ALL) GROUP BY ALL"""
+    part = f"PARTITION BY {by}measure"
+    at = lambda q, m, tag: f"min(CASE WHEN measure = '{m}' AND upto >= total * {q} THEN edge END) AS {m}_{tag}"
+    found = [at(q, m, tag) for m in quality.MEASURES for q, tag in ((0.25, "low"), (0.75, "high"))] + [at(0.5, c, "half") for c in quality.SIZES]
+    fence = [
+        f"{m}_high + greatest({quality.SPREAD}::DOUBLE * ({m}_high - {m}_low), coalesce({1000.0 * few}::DOUBLE / nullif({under}_half, 0), 0.0)) AS {m}"
+        for m, (_, under, few) in quality.MEASURES.items()
+    ]
+    return f"""SELECT {by}n, {", ".join(fence)} FROM (
+        SELECT {by}max(total) AS n, {", ".join(found)}
+        FROM (SELECT {by}measure, CASE WHEN bucket = 0 THEN CAST(0 AS DOUBLE) ELSE exp(bucket * growth) END AS edge,
+                sum(n) OVER ({part} ORDER BY bucket NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER ({part}) AS total
+              FROM (SELECT {by}measure, bucket, growth, count(*) AS n FROM k GROUP BY ALL))
+        {f"GROUP BY {', '.join(keys)}" if keys else ""})"""
+
+
+def _blended(m: str) -> str:
+    """A group's fence leans on its language's, and that on the one of all rows."""
+    out = f"every.{m}"
+    for of in ("by_lang", "own"):
+        n = f"CASE WHEN {of}.{m} IS NULL THEN 0 ELSE {of}.n END"
+        out = f"({n} * coalesce({of}.{m}, 0.0) + {quality.PRIOR} * {out}) / ({n} + {quality.PRIOR})"
+    return out
 
 
 QUALITY = rf"""
@@ -58,18 +74,17 @@ c AS (
     FROM w LEFT JOIN repeated ON repeated.rid = w.rid),
 f AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM c),
 m AS ({_EACH}),
-k AS (SELECT lang, source, measure, low, growth, CASE WHEN x < 1 THEN 0 ELSE CAST(floor(ln(x) / growth) AS BIGINT) + 1 END AS bucket
+k AS (SELECT lang, source, measure, growth, CASE WHEN x < 1 THEN 0 ELSE CAST(floor(ln(x) / growth) AS BIGINT) + 1 END AS bucket
       FROM m, (SELECT CAST('{quality.GROWTH!r}' AS DOUBLE) AS growth) WHERE NOT base_failed),
 own AS ({_fences(["lang", "source"])}),
 by_lang AS ({_fences(["lang"])}),
 every AS ({_fences([])}),
 limits AS (
-    SELECT own.lang, own.source, own.measure,
-        CASE WHEN own.n >= {quality.LEAST_ROWS} THEN own.fence WHEN by_lang.n >= {quality.LEAST_ROWS} THEN by_lang.fence ELSE every.fence END AS fence
-    FROM own JOIN by_lang ON by_lang.lang IS NOT DISTINCT FROM own.lang AND by_lang.measure = own.measure JOIN every ON every.measure = own.measure),
+    SELECT own.lang, own.source, {", ".join(f"{_blended(m)} AS {m}" for m in quality.MEASURES)}
+    FROM own JOIN by_lang ON by_lang.lang IS NOT DISTINCT FROM own.lang, every),
 beyond AS (
-    SELECT DISTINCT m.rid FROM m JOIN limits t
-    ON t.measure = m.measure AND t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source WHERE m.x > t.fence)
+    SELECT DISTINCT m.rid FROM m JOIN limits t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source
+    WHERE m.x > CASE m.measure {" ".join(f"WHEN '{m}' THEN t.{m}" for m in quality.MEASURES)} END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND beyond.rid IS NULL AS kept
 FROM f LEFT JOIN beyond ON beyond.rid = f.rid"""
 
