@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,7 +24,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from bankops.llm.text import HashTable, hash_runs, rows_of, text_slices
-from bankops.llm.tokens import BLANKS, byte_symbols
+from bankops.llm.tokens import byte_symbols
 
 MOST_PIECES = 2_000_000
 CHUNK = 512
@@ -80,15 +79,44 @@ _ASCII[39] = QUOTE
 _ASCII[0x80:0xC0] = INNER
 
 
-@cache
-def class_of_code_points() -> np.ndarray:
-    kinds = {"L": LETTER, "N": NUMBER}
-    out = np.fromiter((kinds.get(unicodedata.category(chr(i))[0], SIGN) for i in range(0x110000)), np.uint8, 0x110000)
-    out[[ord(c) for c in BLANKS]] = SPACE
-    return out
+UNKNOWN, BLOCK = 255, 256
+
 
+class CodePoints:
+    """The class of each code point, as the vocabulary's own splitting tells them apart, asked for 256 at a time when met.
 
-def classes(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    Between two letters, white space leaves a gap, a letter joins them, and of two equal numbers or signs numbers stand alone. The
+    library's tables of characters may be newer or older than Python's.
+    """
+
+    def __init__(self, library: Tokenizer):
+        self.split = library.pre_tokenizer.pre_tokenize_str
+        self.table = np.full(0x110000, UNKNOWN, np.uint8)
+
+    def learn(self, block: int) -> None:
+        points = [c for c in range(block * BLOCK, (block + 1) * BLOCK) if not 0xD800 <= c < 0xE000]
+        pieces = self.split("".join(f"x{chr(c)}{chr(c)}" for c in points) + "x")
+        begins = np.zeros(3 * len(points) + 1, bool)
+        covered = np.zeros(3 * len(points) + 1, bool)
+        for _, (lo, hi) in pieces:
+            begins[lo] = True
+            covered[lo:hi] = True
+        for i, c in enumerate(points):
+            first = 3 * i + 1
+            kind = SPACE if not covered[first] else LETTER if not begins[first] else NUMBER if begins[first + 1] else SIGN
+            self.table[c] = kind
+
+    def __getitem__(self, code: np.ndarray) -> np.ndarray:
+        out = self.table[code]
+        missing = out == UNKNOWN
+        if missing.any():
+            for block in np.unique(code[missing] // BLOCK):
+                self.learn(int(block))
+            out = self.table[code]
+        return out
+
+
+def classes(data: np.ndarray, offs: np.ndarray, points: CodePoints) -> np.ndarray:
     """The class of each byte of UTF-8 text; ``data`` is padded by 8."""
     body = data[:-8]
     out = _ASCII[body]
@@ -105,7 +133,7 @@ def classes(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
                 (b0 & 0x07) << 18 | (b1 & 0x3F) << 12 | (b2 & 0x3F) << 6 | b3 & 0x3F,
             ),
         )
-        out[lead] = class_of_code_points()[code]
+        out[lead] = points[code]
     first = offs[:-1][np.diff(offs) > 0]
     out[first] += CLASSES
     return out
@@ -141,9 +169,9 @@ def emissions(kinds: np.ndarray) -> np.ndarray:
     return np.append(out.T.reshape(-1)[:n], _EMIT[SPACE, ends[-1]])
 
 
-def piece_starts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def piece_starts(data: np.ndarray, offs: np.ndarray, points: CodePoints) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the pieces of all rows."""
-    kinds = classes(data, offs)
+    kinds = classes(data, offs, points)
     if not len(kinds):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     said = emissions(kinds)
@@ -171,15 +199,12 @@ class CountingTokenizer:
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
         self.symbols = byte_symbols()
+        self.points = CodePoints(self.library)
         self._clear()
 
     def _clear(self) -> None:
         self.table, self.counts, self.n = HashTable(16), np.zeros(1 << 16, np.int32), 0
 
-    def normal(self, text: str) -> str:
-        """Composed and lower-cased, one character at a time: a final sigma is not told apart."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-
     def rows(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Token counts of the rows."""
         n = len(offs) - 1
@@ -195,12 +220,12 @@ class CountingTokenizer:
                 # special tokens are found before the text is normalized, and count as one each
                 pieces = self.special.split(text) if "<|" in text else [text]
                 extra[r] = len(pieces) - 1
-                parts += [self.normal(p).encode() for p in pieces]
+                parts += [self.library.normalizer.normalize_str(p).encode() for p in pieces]
                 owner += [r] * len(pieces)
             owner = np.array(owner)
             offs = np.append(0, np.cumsum([len(p) for p in parts]))
             padded = np.frombuffer(b"".join(parts) + bytes(8), np.uint8)
-        starts, ends = piece_starts(padded, offs)
+        starts, ends = piece_starts(padded, offs, self.points)
         emitted = self._emitted(padded, starts, ends)
         sums = np.bincount(rows_of(starts, offs), weights=emitted, minlength=len(offs) - 1)
         return extra + np.bincount(owner, weights=sums, minlength=n).astype(np.int64)
@@ -238,7 +263,8 @@ def count_tokens(
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row, in one pass without a shuffle.
 
-    A null text is an empty one with no tokens; a null id is kept; repeated rows give a row each; other columns are not read.
+    A null text is an empty one with no tokens; a null id is kept; repeated rows give a row each; other columns are not read, whatever
+    their names. A long text is counted whole, by one task. An empty table gives no rows.
     """
     fields = [T.StructField("doc_id", docs.schema[id_col].dataType)]
     fields += [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
