@@ -1,26 +1,36 @@
-"""Benchmark decontamination: rare word seeds, then Smith-Waterman alignment of words.
-
-The items of a benchmark are a stated set of queries, taken in blocks of bounded size; each block goes once over all
-documents. A first pass counts how often each word of the items occurs in the corpus. An alignment that is a hit matches at
-least so many of the item's places that, of its rarest occurring ones, a known number must be among them: those places are the
-item's seeds, and no hit can do without them, however often they occur. A second pass finds seeds in the documents; enough of
-one item's seeds close together propose a window, and the item is aligned with it: +2 for an equal word, -1 for another word or
-a gap. A score of a given share of the best one possible is a hit. Everything happens where a document is read, so nothing but
-counts and hits is moved.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+
+An alignment scores +2 for an equal word and -1 for another word or a gap; a given share of the best score possible is a hit. Of the
+steps from one equal word to the next, those that pass over two words or more cost at least two. So a hit of score s has at least
+s/2 - 1 steps that pass over one word at most, in the item and in the document: word pairs, next to each other or with one word between.
+Each starts at a place of the item of its own, so a hit misses at most the item's places less that many.
+
+1. One pass over the documents counts how often each pair of the items occurs.
+2. An item's seeds are its rarest places that occur, so many that no hit can miss all of them, however often they occur. A second pass
+   finds seeds in the documents; enough of one item's seeds close together propose a window, and the item is aligned with it.
+
+Items are a stated set of queries: they are made into blocks of bounded size, sent to the executors as files, and every batch of
+documents meets the blocks in turn, so there are two passes whatever the number of items. Everything happens where a document is
+read; nothing but counts and hits is moved.
 """
 
 from __future__ import annotations
 
+import pickle
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from bankops.llm.text import LETTER, LOWERED, U, HashTable, hash_runs, mixed, rows_of, runs, spread, table, text_slices
+from bankops.session import stored
 
 WHOLE_WORDS = 4  # a hit scores as much as so many equal words, or all words of a shorter item
 ITEM_BYTES = 4 << 20  # of item text in one block
@@ -58,8 +68,23 @@ def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, end
 
 
+PAIR_STEPS = (1, 2)  # a pair's words are next to each other, or have one word between
+
+
+def pair_codes(h: np.ndarray, row: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first word, code) of the pairs of each row, and of single words; of pairs, only those of two known words."""
+    everywhere = np.ones(len(h), bool) if known is None else known
+    at, code = [np.flatnonzero(everywhere)], [mixed(h[everywhere] + U(0x51ED270B))]
+    for d in PAIR_STEPS:
+        if len(h) > d:
+            i = np.flatnonzero((row[:-d] == row[d:]) & everywhere[:-d] & everywhere[d:])
+            at.append(i)
+            code.append(mixed(mixed(h[i]) + h[i + d] * U(0x9E3779B97F4A7C15)))  # alike for both distances
+    return np.concatenate(at), np.concatenate(code)
+
+
 class Items:
-    """One block of items: their words, and the words that are seeds of each."""
+    """One block of items: their words, and the word pairs that are seeds of each."""
 
     def __init__(self, texts: list[str], least: float = LEAST_SCORE):
         column = pa.array(texts, pa.large_string())
@@ -67,7 +92,12 @@ class Items:
         self.hash, self.row = held[0] if held else (np.zeros(0, U), np.zeros(0, np.int64))
         self.size = np.bincount(self.row, minlength=len(texts))
         self.start = np.cumsum(self.size) - self.size
-        self.words, self.word = np.unique(self.hash, return_inverse=True)
+        self.words = np.unique(self.hash)
+        at, code = pair_codes(self.hash, self.row)
+        # a single word is a seed of an item of one word only
+        keep = (self.size[self.row[at]] == 1) | (np.arange(len(at)) >= len(self.hash))
+        self.place, code = at[keep], code[keep]
+        self.codes, self.code = np.unique(code, return_inverse=True)
         self.pairs = np.unique(self._pair(self.row, self.hash))
         # the smallest score of a hit, the words it matches at least and the most words of a document it covers
         self.score = np.maximum(np.ceil(MATCH * self.size * least - 1e-9), MATCH * np.minimum(self.size, WHOLE_WORDS)).astype(np.int64)
@@ -75,16 +105,19 @@ class Items:
         self.span = self.size + (MATCH * self.size - self.score) // MISS
 
     def seeds(self, counts: np.ndarray) -> "Items":
-        """Keep the rarest places of each item: a hit misses at most (places whose word occurs) - ``match`` of those whose word
-        occurs, so of ``some`` more than that, whichever they are, it has ``some``. Their words are the seeds."""
-        n = counts[self.word]
+        """Keep the rarest places of each item: a hit has at least ``match`` - 1 of those whose pairs occur (the only word of an item of one), so
+        of ``some`` more than it can miss it has ``some``, whichever they are. Their pairs are the seeds."""
+        n = np.bincount(self.place, counts[self.code], minlength=len(self.hash)).astype(np.int64)
         there = np.flatnonzero(n > 0)
         there = there[np.lexsort((n[there], self.row[there]))]
         total = np.bincount(self.row[there], minlength=len(self.size))
         rank = np.arange(len(there)) - (np.cumsum(total) - total)[self.row[there]]
-        self.some = np.maximum(1, self.match // 2)
-        keep = there[rank < np.where(total >= self.match, total - self.match + self.some, 0)[self.row[there]]]
-        pairs = np.unique(self.word[keep] * len(self.size) + self.row[keep])
+        sure = np.maximum(1, self.match - 1)
+        self.some = np.maximum(1, sure // 2)
+        chosen = np.zeros(len(self.hash), bool)
+        chosen[there[rank < np.where(total >= sure, total - sure + self.some, 0)[self.row[there]]]] = True
+        keep = chosen[self.place] & (counts[self.code] > 0)
+        pairs = np.unique(self.code[keep] * len(self.size) + self.row[self.place[keep]])
         self.gram, self.item = np.divmod(pairs, max(1, len(self.size)))
         return self
 
@@ -93,28 +126,36 @@ class Items:
         """A hash for each item and word."""
         return mixed(word + item.astype(U) * U(0x9E3779B97F4A7C15))
 
-    def lookup(self) -> tuple[HashTable, HashTable]:
-        """The items' words, and the pairs of an item and a word of it."""
-        words, pairs = HashTable(), HashTable()
+    def lookup(self) -> tuple[HashTable, HashTable, HashTable]:
+        """The items' words, the pairs of an item and a word of it, and the codes of word pairs."""
+        words, pairs, codes = HashTable(), HashTable(), HashTable()
         words.add(self.words, np.arange(len(self.words), dtype=np.int32))
         pairs.add(self.pairs, np.zeros(len(self.pairs), np.int32))
-        return words, pairs
+        codes.add(self.codes, np.arange(len(self.codes), dtype=np.int32))
+        return words, pairs, codes
 
-    def windows(self, index: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    @staticmethod
+    def met(found: tuple[HashTable, ...], h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of the code) of the items' word pairs in documents, by place."""
+        at, code = pair_codes(h, row, found[0].find(h) >= 0)
+        number = found[2].find(code)
+        at, number = at[number >= 0], number[number >= 0].astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        return at[order], number[order]
+
+    def windows(self, known: np.ndarray, word: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """(item, row, first word, word after the last, seeds) of the windows where an item can stand, some items at a time."""
-        known = np.flatnonzero(index >= 0)
-        word = index[known]
-        occur = np.bincount(word, minlength=len(self.words))
+        occur = np.bincount(word, minlength=len(self.codes))
         load = np.cumsum(np.bincount(self.item, occur[self.gram], minlength=len(self.size)).astype(np.int64))
         part = load // PAIRS
         for p in np.unique(part[self.item]):
             chosen = part[self.item] == p
             gram, owner = self.gram[chosen], self.item[chosen]
-            first = np.searchsorted(gram, np.arange(len(self.words) + 1))
+            first = np.searchsorted(gram, np.arange(len(self.codes) + 1))
             times = first[word + 1] - first[word]
-            key = owner[spread(first[word], times)] * len(index) + np.repeat(known, times)
+            key = owner[spread(first[word], times)] * len(row) + np.repeat(known, times)
             key.sort()
-            item, at = np.divmod(key, max(1, len(index)))
+            item, at = np.divmod(key, max(1, len(row)))
             # so many seeds of one item in one row on as many words as a hit can cover
             last = np.arange(len(at)) + self.some[item] - 1
             begin = np.flatnonzero(last < len(at))
@@ -137,7 +178,7 @@ class Items:
         first_word = np.searchsorted(row, np.arange(len(offs)))
         names = ("row", "item", "start", "end", "score", "seeds")
         out = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0), np.zeros(0, np.int64)]]
-        for item, owner, lo, hi, seeds in self.windows(found[0].find(h), row):
+        for item, owner, lo, hi, seeds in self.windows(*self.met(found, h, row), row):
             lo, hi = np.maximum(lo, first_word[owner]), np.minimum(hi, first_word[owner + 1])
             order, p = np.argsort(self.size[item], kind="stable"), 0
             while p < len(order):
@@ -182,31 +223,85 @@ class Items:
         return [owner[good], item[good], base + len(j) - back, base + stop[good], best[good] / (MATCH * size[good]), seeds[good]]
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, text_col: str, least: float) -> Iterator[tuple[list, Items]]:
-    """(item ids, items with their seeds) block by block; a block's text is about ITEM_BYTES, read by the driver."""
+class Blocks:
+    """Blocks of items as files that Spark hands to every executor; a task reads one at a time."""
+
+    def __init__(self, spark: SparkSession):
+        self.context, self.folder = spark.sparkContext, tempfile.mkdtemp(prefix="bankops-items-")
+        self.names: list[str] = []
+
+    def add(self, ids: list, items: Items) -> None:
+        name = f"items-{uuid.uuid4().hex}.pickle"
+        with open(f"{self.folder}/{name}", "wb") as f:
+            pickle.dump((ids, items), f, protocol=5)
+        self.names.append(name)
+
+    def own(self) -> Iterator[tuple[list, Items]]:
+        """The blocks, read by the driver."""
+        for name in self.names:
+            with open(f"{self.folder}/{name}", "rb") as f:
+                yield pickle.load(f)
+
+    def send(self) -> list[str]:
+        for name in self.names:
+            self.context.addFile(f"{self.folder}/{name}")
+        return self.names
+
+
+def _in_turn(names: list[str]):
+    """A function that gives (number, ids, items, lookup) of each block; a single block stays loaded."""
+    held = []
+
+    def load(name: str):
+        with open(SparkFiles.get(name), "rb") as f:
+            ids, items = pickle.load(f)
+        return ids, items, items.lookup()
+
+    def blocks() -> Iterator[tuple]:
+        for b, name in enumerate(names):
+            if len(names) > 1:
+                yield b, *load(name)
+            else:
+                if not held:
+                    held.append(load(name))
+                yield b, *held[0]
+
+    return blocks
+
+
+def seeded_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, text_col: str, least: float) -> list[str]:
+    """File names of the blocks of items with their seeds. A block's text is about ITEM_BYTES; the driver holds one block at a time."""
+    spark = docs.sparkSession
     named = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // ITEM_BYTES))
+    blocks, plain, seeded = max(1, -(-total // ITEM_BYTES)), Blocks(spark), Blocks(spark)
     for b in range(blocks):
         rows = named.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         items = Items([r["text"] for r in rows], least)
-        if not len(items.words):
-            continue
-
-        def count(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            found, n = items.lookup()[0], np.zeros(len(items.words), np.int64)
-            for batch in batches:
-                for _, _, data, offs in text_slices(batch.column(0)):
-                    index = found.find(words_of(data, offs)[0])
-                    n += np.bincount(index[index >= 0], minlength=len(n))
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["word", "n"])
-
-        counted = docs.select(text_col).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        counts = np.zeros(len(items.words), np.int64)
-        for r in counted.collect():  # at most one number for each word of the block
-            counts[r["word"]] = r["n"]
-        yield [r["item_id"] for r in rows], items.seeds(counts)
+        if len(items.words):
+            plain.add([r["item_id"] for r in rows], items)
+    if not plain.names:
+        return []
+    names = plain.send()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _in_turn(names)
+        for batch in batches:
+            hashed = [words_of(data, offs) for _, _, data, offs in text_slices(batch.column(0))]
+            for b, _, items, found in blocks():
+                n = np.zeros(len(items.codes), np.int64)
+                for h, row in hashed:
+                    n += np.bincount(items.met(found, h, row)[1], minlength=len(n))
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), b)), pa.array(at), pa.array(n[at])], ["block", "code", "n"])
+
+    counted = stored(docs.select(text_col).mapInArrow(count, "block long, code long, n long").groupBy("block", "code").agg(F.sum("n").alias("n")))
+    for b, (ids, items) in enumerate(plain.own()):
+        counts = np.zeros(len(items.codes), np.int64)
+        for r in counted.where(F.col("block") == b).collect():  # at most one number for each pair of the block
+            counts[r["code"]] = r["n"]
+        seeded.add(ids, items.seeds(counts))
+    return seeded.send()
 
 
 def find_leaks(
@@ -222,7 +317,9 @@ def find_leaks(
     document row and item whose best alignment reaches ``least`` and scores as much as WHOLE_WORDS equal words, or as the whole
     item if that is shorter. ``seeds`` are those in the window it was found in.
 
-    Null and empty texts and items have no hits. Null ids are kept. Repeated rows have their own hits; items with equal texts each have theirs; other columns are not read.
+    Null and empty texts and items have no hits. Null ids are kept. Repeated rows have their own hits; items with equal texts each have
+    theirs. Of equally good places of an item in a text the first found counts. Long texts are searched whole; other columns are not
+    read. Empty tables give no rows.
     """
     spark = docs.sparkSession
     id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
@@ -230,22 +327,22 @@ def find_leaks(
     fields += [T.StructField("start_word", T.LongType()), T.StructField("end_word", T.LongType())]
     fields += [T.StructField("score", T.DoubleType()), T.StructField("seeds", T.LongType())]
     schema = T.StructType(fields)
-    out = None
-    for ids, items in item_blocks(docs, benchmark, item_col, item_text, text_col, least):
-
-        def hits(batches: Iterator[pa.RecordBatch], ids=ids, items=items) -> Iterator[pa.RecordBatch]:
-            found, names = items.lookup(), None
-            for batch in batches:
-                names = names if names is not None else pa.array(ids, to_arrow_type(item_type))
+    files = seeded_blocks(docs, benchmark, item_col, item_text, text_col, least)
+    if not files:
+        return spark.createDataFrame([], schema)
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _in_turn(files)
+        for batch in batches:
+            for _, ids, items, found in blocks():
+                names = pa.array(ids, to_arrow_type(item_type))
                 for lo, hi, data, offs in text_slices(batch.column(1)):
                     x = items.hits(found, data, offs)
                     rest = [pa.array(x[k]) for k in ("start", "end", "score", "seeds")]
                     doc = batch.column(0).slice(lo, hi - lo).take(pa.array(x["row"]))
                     yield pa.RecordBatch.from_arrays([doc, names.take(pa.array(x["item"])), *rest], schema.names)
 
-        part = docs.select(id_col, text_col).mapInArrow(hits, schema)
-        out = part if out is None else out.union(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+    return docs.select(id_col, text_col).mapInArrow(hits, schema)
 
 
 def decontaminate(
@@ -258,16 +355,17 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; rows are judged one by one, whatever their ids."""
     at = docs.columns.index(text_col)
-    schema = docs.schema
-    for _, items in item_blocks(docs, benchmark, item_col, item_text, text_col, least):
-
-        def clean(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            found = items.lookup()
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
+    files = seeded_blocks(docs, benchmark, item_col, item_text, text_col, least)
+    if not files:
+        return docs
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _in_turn(files)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for _, _, items, found in blocks():
                 for lo, _, data, offs in text_slices(batch.column(at)):
                     keep[lo + items.hits(found, data, offs)["row"]] = False
-                yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, schema)
-    return docs
+    return docs.mapInArrow(clean, docs.schema)
