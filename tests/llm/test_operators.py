@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -110,11 +111,27 @@ def test_jaccard(docs, texts):
             if sets[i] and a is not None and b is not None and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
                 x, y = sorted((root(a), root(b)))
                 up[y] = x
-    want = collections.Counter((i, len(s), None if i is None else root(i) if s else i) for (i, _), s in zip(texts, sets))
+    want = collections.Counter((i, len(s), None if i is None else root(i)) for (i, _), s in zip(texts, sets))
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect())
     assert got == want
 
 
+def test_jaccard_meets_in_the_id(spark):
+    """Links of all texts of an id count for all its rows; an id's empty row goes with its others; the SQL twin says the same."""
+    import duckdb
+
+    from bankops.llm import sql
+
+    a, b, c = ("one two three four five six seven " * 2 + x for x in ("a", "b and more of it " * 9, "c or other words here " * 9))
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, c), (11, c), (9, None), (12, ""), (13, None), (5, b), (20, "w x y z " * 4), (20, "quite other words " * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter(map(tuple, jaccard.jaccard_components(docs).collect()))
+    assert {(i, x) for i, _, x in got} == {(3, 3), (5, 3), (9, 3), (11, 3), (12, 12), (13, 13), (20, 20)}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert collections.Counter((i, n, x) for i, n, x in con.execute(sql.JACCARD).fetchall()) == got
+
+
 def test_jaccard_large_groups(spark, monkeypatch):
     """Groups beyond a block, n-grams shown by more classes than a limit: the same components."""
     for name, value in (("BLOCK_ROWS", 80), ("MOST_SHOWN_BY", 6), ("FREQUENT", 8)):
@@ -176,6 +193,49 @@ def test_decontamination_of_common_and_short_items(spark):
     assert sorted(r.doc_id for r in decontamination.decontaminate(docs, bench).collect()) == [303, 304]
 
 
+def enumerated(scores, first, initial, trans):
+    """Posteriors by the sum over all paths of labels of each sequence."""
+    out, cuts = np.zeros(scores.shape), [*np.flatnonzero(first), len(scores)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        for path in itertools.product(range(scores.shape[1]), repeat=hi - lo):
+            w = initial[path[0]] + sum(trans[x, y] for x, y in zip(path, path[1:])) + sum(scores[lo + k, y] for k, y in enumerate(path))
+            out[np.arange(lo, hi), path] += np.exp(w)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("cuts", [[0], [0, 1], [0, 3], [0, 2, 5], [0, 1, 2, 3]])
+def test_posteriors_equal_all_paths(cuts):
+    rng = np.random.default_rng(9)
+    for n in range(1, 11):
+        scores, initial, trans = rng.normal(0, 2, (n, 3)), rng.normal(0, 1, 3), rng.normal(0, 1, (3, 3))
+        first = np.isin(np.arange(n), cuts)
+        assert np.abs(language.marginals(scores, first, initial, trans)[0] - enumerated(scores, first, initial, trans)).max() < 1e-9
+
+
+def test_language_of_long_texts_and_parts(spark):
+    """A language that stands only in long texts, and one with a single row, are learned; switching texts come apart by words."""
+    en, de, fr = "the of and stone river light".split(), "der und nicht fluss haus licht".split(), "le et pas rivière maison lumière".split()
+    rng = np.random.default_rng(10)
+    made = lambda words, n: " ".join(rng.choice(words, n))
+    rows = [(k, made((en, de)[k % 2], 30), ("en", "de")[k % 2]) for k in range(120)]
+    rows += [(200 + k, made(fr, 6000), "fr") for k in range(12)] + [(1, made("uno dos tres casa luz rio".split(), 200), "es")]
+    mixed = made(en, 12) + " " + made(fr, 12) + ". " + made(de, 12)
+    rows += [(300, mixed, None), (301, None, "en"), (302, "12 + 3", None), (303, "casa rio luz tres", None)]
+    from bankops.llm.registry import ship
+
+    ship(spark)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = {r.doc_id: r for r in language.identify(docs, spans=True).collect()}
+    assert all(got[k].lang_pred == lang for k, _, lang in rows[:132] if k != 1) and got[303].lang_pred == "es"
+    assert got[301].spans == [] and got[302].spans == []
+    parts = got[300].spans
+    assert [p.lang for p in parts] == ["en", "fr", "de"] and all(0 <= p.score <= 1 for p in parts)
+    assert [set(mixed[p.start : p.end].replace(".", "").split()) <= set(w) for p, w in zip(parts, (en, fr, de))] == [True] * 3
+    # neither partitions nor other rows in the batch change a row's result
+    again = {r.doc_id: r for r in language.identify(docs.coalesce(1), spans=True).collect()}
+    assert all(again[k].lang_pred == r.lang_pred and abs(again[k].score - r.score) < 1e-6 for k, r in got.items())
+
+
 def test_language(spark):
     a, b = "the of and stone river light".split(), "der und nicht fluss haus licht".split()
     rows = [(k, " ".join((a, b)[k % 2][(k + j * j) % 6] for j in range(30)), ("en", "de")[k % 2]) for k in range(200)]
@@ -235,6 +295,48 @@ def test_licenses(docs, texts):
     assert collections.Counter(len(re.findall(words, lowered(t))) for _, t in texts) == collections.Counter(x.n_words for y in rows.values() for x in y)
 
 
+PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+
+
+def test_base_places_of_licenses(spark, texts):
+    """Every place of a base phrase, wherever words end, against a search of the word lists."""
+    rng = np.random.default_rng(14)
+    bits = "MIT mit license License apache general public GNU é under -- , \n 's mit-license apache_license licenses 7".split(" ") + [" ", "\t", "the"]
+    made = [rng.choice([" ", "  ", "-", "\n"]).join(rng.choice(bits, int(rng.integers(0, 25)))) for _ in range(800)]
+    rows = [(k, t) for k, t in enumerate([*(t for _, t in texts), *made, "mit license " * 3000])]
+    for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id int, text string").repartition(3)).collect():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(rows[r.doc_id][1]))
+        at = [(i, label) for phrase, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()]
+        starts = [i for i, _ in at]
+        want = (len(w), len(at), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in at})))
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == want, rows[r.doc_id]
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_repeated_rows_are_scanned_alike(spark, docs):
+    """A doubled table gives every row of the result twice."""
+    docs = docs.where("doc_id > 50")
+    twice = docs.union(docs).repartition(5)
+    for f in (licenses.license_scan, pii.pii_report, token_counts.count_tokens):
+        once = collections.Counter(tuple(r) for r in f(docs).collect())
+        assert collections.Counter(tuple(r) for r in f(twice).collect()) == collections.Counter({k: 2 * n for k, n in once.items()})
+
+
+def test_counts_equal_the_library_on_every_character(spark):
+    """All code points, alone and between letters and numbers, and texts that mix them."""
+    library_ = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"{x} a{x}a 1{x}1 {x}{x}" for x in points[i : i + 40]) for i in range(0, len(points), 40)]
+    rng = np.random.default_rng(15)
+    near = [*"abcXYZ019 '.,-\n\té§٣", "'s", "'LL", "Σ", "İ", "ß", "中文", "한국", "\u0301", "\u200d", "\ua7cb", "\ua7dc", "<|endoftext|>", "<|", "→"]
+    texts += ["".join(rng.choice(near, int(rng.integers(0, 60)))) for _ in range(20_000)]
+    want = [len(e.ids) for e in library_.encode_batch(texts, add_special_tokens=False)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(rows).collect()}
+    wrong = [(k, texts[k][:60]) for k, n in enumerate(want) if got[k] != n]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
 def shortest(pattern):
     """Texts of every way through a pattern's alternatives, optional parts left out."""
     import re._parser as parser
@@ -294,6 +396,60 @@ def test_pii_forms_alone(spark):
     assert [forms[k][1] for k in range(4) if "email:" not in spans[k]] == []
 
 
+CONTRACT = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(number):
+    return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(map(int, reversed(number)))) % 10 == 0
+
+
+def contract_spans(text):
+    out = []
+    for kind, pattern in CONTRACT.items():
+        for m in re.finditer(pattern, text, re.ASCII):
+            number = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda m=m: True,
+                "ip": lambda m=m: all(int(x) <= 255 for x in m[0].split(".")),
+                "card": lambda number=number: 16 <= len(number) <= 19 and luhn(number),
+                "phone": lambda number=number: 8 <= len(number) <= 15,
+            }[kind]()
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_base_spans_equal_the_contract(spark, texts):
+    """The linear patterns against the plain ones, on the awkward rows and on texts made of the pieces that patterns turn on."""
+    rng = np.random.default_rng(12)
+    bits = ["a", "é", "@", ".", "-", "+", "1", "22", "255", "256", "4539578763621486", " ", "(", ")", "_", "%", "x.y", "10.0.0.1", "+1 555", "\n", "𝒳", "007"]
+    made = ["".join(rng.choice(bits, int(rng.integers(1, 30)))) for _ in range(1500)]
+    rows = [(k, t) for k, t in enumerate([*(t for _, t in texts), *made, "x" * 300 + "@" + "y." * 200 + "z", "9" * 5000, "+1" + "2 " * 3000 + "3"])]
+    got = pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        want = contract_spans(rows[r.doc_id][1] or "")
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), rows[r.doc_id]
+        assert set(want) <= set(filter(None, r.spans.split(",")))
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(x.startswith(k + ":") for x in want) for k in CONTRACT)
+
+
+def test_secrets_go_whole(spark):
+    """No character of a long secret is left, whatever its length and case."""
+    hexes = "0123456789abcdef" * 40
+    secrets = [(f"set token = {hexes[:n]} there", hexes[:n]) for n in (40, 200, 201, 400, 640)]
+    secrets += [(f"the secret key {x} here", x) for n in (32, 64, 65, 128, 600) for x in (hexes[:n], hexes[:n].upper())]
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(secrets)], "doc_id long, text string")
+    found = pii.find_pii(rows, {"doc_id": "doc_id"})
+    for r in found.select("doc_id", pii.redacted(found["_text"], found["spans"]).alias("text")).collect():
+        text, secret = secrets[r.doc_id]
+        assert not any(secret[i : i + 8] in r.text for i in range(0, len(secret) - 7)), (text[:60], r.text)
+
+
 def test_empty_tables(spark, docs, tmp_path):
     none = docs.where("false")
     for f in (token_counts.count_tokens, packing.pack, jaccard.jaccard_components, quality.quality_rules, language.identify, licenses.license_scan, pii.pii_report):
