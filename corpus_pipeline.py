@@ -15,41 +15,58 @@ from bankops.llm.registry import read, ship
 from bankops.session import stored
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """The whole row in one column beside those that an operator reads, so that no names can clash."""
-    return docs.select("text", "lang", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+def _with_row(docs: DataFrame, *read: str) -> DataFrame:
+    """The columns that an operator reads beside the whole row in one column, so that no names can clash."""
+    return docs.select(*read, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, with all their columns as they are.
+
+    Reads text, lang and source. A null or empty text has too few words and goes; a null language or source is a group of its own.
+    Repeated rows are judged each, and alike. An empty table stays empty.
+    """
     ship(spark)
-    judged = quality.judge(_rows(docs), {"row": "row"})
+    judged = quality.judge(_with_row(docs, "text", "lang", "source"), {"row": "row"})
     return judged.where("kept").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id; rows without an id stay."""
+    """Of each component of near duplicates the document with the smallest id.
+
+    Rows of one id are one document: the smallest id keeps one row of each of its different texts, the one whose other columns have the
+    smallest hash. Rows with a null id cannot be told apart and all stay, as do texts without words, which are near duplicates of
+    nothing, but for repeated rows. An empty table stays empty.
+    """
     ship(spark)
     named = jaccard.jaccard_components(docs)
     first = named.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
-    # a row that is there twice has one id and one text
-    kept = kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    known = _with_row(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text").join(first, "doc_id", "left_semi")
+    known = known.select("row", F.struct("doc_id", F.xxhash64("text")).alias("key"), F.xxhash64("row").alias("order"))
+    kept = known.groupBy("key").agg(F.min_by("row", "order").alias("row")).select("row.*")
+    return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
+    """Documents in which no benchmark item was found, with all their columns as they are.
+
+    Rows are judged one by one by their text, whatever their ids; null and empty texts stay. An empty table stays empty.
+    """
     ship(spark)
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
+    """All documents, personal data replaced by its kind; ``n_chars``, where there is one, follows the text.
+
+    Rows without personal data, null texts among them, stay as they are to the last column. Repeated rows are redacted each.
+    """
     ship(spark)
-    rows = pii.find_pii(_rows(docs), {"row": "row"})
+    rows = pii.find_pii(_with_row(docs, "text"), {"row": "row"})
     rows = rows.select("row", pii.redacted(F.col("_text"), F.col("spans")).alias("new"), (F.size("spans") > 0).alias("changed"))
-    new = {"text": F.col("new"), "n_chars": F.length("new").cast(docs.schema["n_chars"].dataType)}
+    new = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
     return rows.select(
         *(
             (F.when(F.col("changed"), new[c]).otherwise(F.col(f"row.{c}")) if c in new else F.col(f"row.`{c}`")).alias(c)
@@ -59,7 +76,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
+    """Pieces of sequences of 2048 tokens; see ``packing.pack``. A null text is an empty one: its end token is packed."""
     ship(spark)
     return packing.pack(docs)
 
@@ -72,7 +89,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# tokens and boosted trees are beyond SQL; tests compare the stages with brute force
+# tokens and boosted trees are beyond SQL; tests/llm/test_pipeline.py compares each stage with brute force
 ORACLE_SQL = None
 
 
