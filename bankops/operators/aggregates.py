@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankops.functions.columns import share
-from bankops.operators.skew import find_hot, part_by, same_keys
+from bankops.operators.heavy import find_heavy
+from bankops.operators.skew import part_by, same_keys
 
 _REDUCE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -32,6 +33,20 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(F.inline(F.array(*[f"_{i}" for i in range(len(cols))])))
 
 
+def text_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per text column: values, distinct values, first and last in order, shortest and longest length in characters."""
+    one = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column"), F.count(c).alias("n"), F.count_distinct(c).alias("n_distinct"), F.min(c).alias("min"), F.max(c).alias("max"),
+                F.min(F.length(c)).cast("long").alias("min_length"), F.max(F.length(c)).cast("long").alias("max_length"),
+            ).alias(f"_{i}")
+            for i, c in enumerate(cols)
+        ]
+    )
+    return one.select(F.inline(F.array(*[f"_{i}" for i in range(len(cols))])))
+
+
 def class_ratio(df: DataFrame, condition: Column, name: str = "ratio") -> DataFrame:
     """Share of rows that meet the condition, in one pass."""
     return df.agg(share(F.count_if(condition), F.count(F.lit(1))).alias(name))
@@ -52,7 +67,7 @@ def salted_agg(
 
 def hot_key_split(df: DataFrame, key: str, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(rows of keys above ``threshold`` rows, all other rows)."""
-    names, _ = find_hot(df, [key], threshold)
+    names, _ = find_heavy(df, [key], threshold)
     if names is None:
         return df.limit(0), df
     rest, hot = part_by(df, names, [key])

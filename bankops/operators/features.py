@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankops.functions.columns import MICROS_PER_DAY, MICROS_PER_SECOND, count_where, is_weekend, micros, share
-from bankops.operators.skew import over_range, running
+from bankops.operators.heavy import join_split
+from bankops.operators.skew import fits_one_task, hot_limit, over_range, running
 from bankops.operators.windows import AXIS, as_list, gap_seconds, over_days, previous
 
 
@@ -78,7 +79,7 @@ def flow_ratio(
     df: DataFrame, key, ts: str, value: Column, debit: Column, credit: Column, days: float, tie: str,
     name: str = "flow_ratio", hot_rows: int | None = None,
 ) -> DataFrame:
-    """Spending over income in the frame; NULL without income. ``value`` is a decimal or a whole number, summed as given."""
+    """Spending over income in the frame; NULL without income. ``value`` is summed exactly, floating numbers included."""
     parts = {
         "_out": ("sum", F.when(debit, value).otherwise(F.lit(0))),
         "_in": ("sum", F.when(credit, value).otherwise(F.lit(0))),
@@ -107,16 +108,21 @@ def amount_gap(df: DataFrame, key, ts: str, value: str, tie: str, hot_rows: int
     return out.withColumn("amount_gap", F.col(value) * F.col("_gap")).drop("_gap")
 
 
-def zscore(df: DataFrame, key: str, value: str, name: str = "zscore") -> DataFrame:
+def zscore(df: DataFrame, key: str, value: str, name: str = "zscore", hot_rows: int | None = None) -> DataFrame:
     """Distance from the key's mean in sample deviations; NULL for a constant or single row.
 
-    Per-key statistics come from a partial aggregate and are joined back, so no key is held in one task.
+    Per-key statistics come from a partial aggregate and are joined back, heavy keys apart, so no key is held in one task.
     """
-    stats = df.groupBy(F.col(key).alias("_key")).agg(F.avg(value).alias("_avg"), F.stddev(value).alias("_std"))
-    joined = df.join(stats, df[key].eqNullSafe(stats["_key"]), "left")
+    stats = df.groupBy(key).agg(F.avg(value).alias("_avg"), F.stddev(value).alias("_std"))
+    joined = _joined(df, stats, key, hot_rows)
     return joined.select(*df.columns, F.try_divide(F.col(value) - F.col("_avg"), F.col("_std")).alias(name))
 
 
+def _joined(df: DataFrame, table: DataFrame, key: str, hot_rows: int | None) -> DataFrame:
+    limit = hot_limit(df, hot_rows)
+    return join_split(df, table, [key], limit, fits_one_task(df, limit))
+
+
 def cumulative_share_delta(
     df: DataFrame, key: str, ts: str, value: Column, tie: str, hot_rows: int | None = None
 ) -> DataFrame:
@@ -125,8 +131,7 @@ def cumulative_share_delta(
     ``value`` is summed as given; sums of decimals and whole numbers are exact.
     """
     run = running(df, [key], [F.col(ts), F.col(tie)], {"_run": ("sum", value)}, hot_rows)
-    totals = df.groupBy(F.col(key).alias("_key")).agg(F.sum(value).alias("_total"))
-    joined = run.join(totals, run[key].eqNullSafe(totals["_key"]), "left")
+    joined = _joined(run, df.groupBy(key).agg(F.sum(value).alias("_total")), key, hot_rows)
     before = F.col("_run") - F.coalesce(value, F.lit(0))
     now = share(F.col("_run"), F.col("_total"))
     return joined.select(

@@ -19,7 +19,9 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankops.session import BROADCAST_ROWS, durable, stored
+from bankops.operators.exact import as_limbs
+from bankops.operators.heavy import carry_search, find_heavy
+from bankops.session import stored
 
 HOT_ROWS_CONF = "spark.bankops.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
@@ -67,21 +69,6 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return reduce(lambda a, b: a & b, pairs)
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame | None, int]:
-    """(keys above ``limit`` rows or None, rows they hold). There are at most N / limit such keys."""
-    found = (
-        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_hot_rows"))
-        .filter(F.col("_hot_rows") > limit)
-    )
-    found = durable(found)
-    n_keys, n_rows = found.agg(F.count(F.lit(1)), F.sum("_hot_rows")).first()
-    if not n_keys:
-        return None, 0
-    names = found.drop("_hot_rows")
-    return (F.broadcast(names) if n_keys <= BROADCAST_ROWS else names), n_rows
-
-
 def part_by(df: DataFrame, names: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of the listed keys)."""
     on = same_keys(df, names, keys, "_hot_")
@@ -93,12 +80,12 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """(ordinary rows, rows of heavy keys or None, number of chunks for the latter).
 
-    An input that fits one task is not searched at all.
+    An input that fits one task is not searched at all; frames with the same keys in the same rows share a search.
     """
     limit = hot_limit(df, hot_rows)
     if fits_one_task(df, limit):
         return df, None, 0
-    names, n_rows = find_hot(df, keys, limit)
+    names, n_rows = find_heavy(df, keys, limit)
     if names is None:
         return df, None, 0
     return *part_by(df, names, keys), ceil(n_rows / limit)
@@ -240,9 +227,8 @@ def over_rows(
     if hot is None:
         return plain
     limit = hot_limit(df, hot_rows)
-    return plain.unionByName(
-        as_types(over_rows_hot(hot, keys, order, before, after, build, chunks, limit), plain)
-    )
+    out = plain.unionByName(as_types(over_rows_hot(hot, keys, order, before, after, build, chunks, limit), plain))
+    return carry_search(out, df, keys, limit)
 
 
 def _range_sums_hot(
@@ -371,8 +357,6 @@ def _range_sums(
     types = {
         n: rest.select(_LOCAL[kind](c).alias(n)).schema[n].dataType for aggs in spans.values() for n, (kind, c) in aggs.items()
     }
-    if any(t.typeName() in ("double", "float") for t in types.values()):
-        raise ValueError("sums over a range frame need whole numbers or decimals")
     plain = rest.withColumns({n: c.cast(types[n]) for n, c in out.items()})
     if hot is None:
         return plain
@@ -409,8 +393,19 @@ def over_range(
 
     ``axis`` is a long column; both ends belong to the frame and so do rows of equal axis. ``before`` is one
     length or one per aggregate; frames of all lengths share one shuffle and one sort. Kinds are sum and count,
-    which are exact, and (with ``after`` 0) min and max.
+    which are exact, floating numbers included (see ``bankops.operators.exact``), and (with ``after`` 0) min and max.
     """
+    floating = {n: c for n, (kind, c) in aggs.items() if kind == "sum" and df.select(c.alias("c")).schema["c"].dataType.typeName() in ("double", "float")}
+    if floating:
+        limbs, work = {}, df
+        for i, (n, c) in enumerate(floating.items()):
+            limbs[n] = as_limbs(work, c, f"_x{i}_")
+            work = limbs[n].rows
+        more = {part: ("sum", c) for x in limbs.values() for part, c in x.parts.items()}
+        spans = before if isinstance(before, int) else {k: before[n] for n in aggs for k in (limbs[n].parts if n in limbs else [n])}
+        rest = {n: a for n, a in aggs.items() if n not in floating}
+        out = over_range(work, keys, axis, spans, {**rest, **more}, tie, after, hot_rows)
+        return out.select(*df.columns, *(limbs[n].total().alias(n) if n in limbs else F.col(n) for n in aggs))
     extremes = {n: a for n, a in aggs.items() if a[0] in ("min", "max")}
     sums = {n: a for n, a in aggs.items() if a[0] in ("sum", "count")}
     if len(extremes) + len(sums) != len(aggs) or (extremes and after):
