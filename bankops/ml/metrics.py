@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankops.functions.columns import share
@@ -18,14 +18,25 @@ def largest_residuals(df: DataFrame, label: str, pred: str, key: str, n: int = 2
     return top_k(residuals(df, label, pred), [F.abs("residual").desc(), F.col(key)], n)
 
 
-def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """rmse, mae and r2 from one pass."""
+def _fit_metrics(label: str, pred: str) -> list[Column]:
     e = F.col(label) - F.col(pred)
-    return df.agg(
+    return [
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
         (1 - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(label))).alias("r2"),
-    )
+    ]
+
+
+def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """rmse, mae and r2 from one pass."""
+    return df.agg(*_fit_metrics(label, pred))
+
+
+def residual_summary(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """Count, mean, sample deviation and range of the residuals beside the regression metrics, from one pass."""
+    e = F.col(label) - F.col(pred)
+    spread = [F.count(e).alias("n"), F.avg(e).alias("mean"), F.stddev(e).alias("stddev"), F.min(e).alias("min"), F.max(e).alias("max")]
+    return df.agg(*spread, *_fit_metrics(label, pred))
 
 
 def auc(df: DataFrame, label: str, score: str, hot_rows: int | None = None) -> DataFrame:

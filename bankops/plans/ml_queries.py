@@ -5,13 +5,15 @@ Loans and card transactions are drawn for the ids of ``orders``, so they grow wi
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from bankops.functions.columns import share
-from bankops.ml import metrics, models
+from bankops.ml import metrics, models, regression
+from bankops.ml.frequency import frequency_index, join_categories, one_hot_table
 from bankops.ml.synth import INDUSTRY_RISK, synth_fraud, synth_loans, synth_txn
+from bankops.plans import sqlmodels
 from bankops.plans.registry import query
 from bankops.plans.sqltext import sql_normal, sql_uniform
 
@@ -34,26 +36,32 @@ def cards(t):
 
 # ---- synthetic rows ----
 
-N, U = (lambda s, m, d: sql_normal("o_orderkey", 4200 + s, m, d)), (lambda s: sql_uniform("o_orderkey", 4200 + s))
-INDUSTRY = f"({list(INDUSTRY_RISK)!r})[CAST(floor({U(2)} * 6) + 1 AS INTEGER)]"
-RISK = "CASE industry " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in INDUSTRY_RISK.items()) + " END"
-LOANS = f"""SELECT 'LN' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS loan_id,
-    least(greatest({N(0, 680.0, 55.0)}, 520.0), 820.0) AS credit_score,
-    least(greatest(exp({N(1, 14.2, 1.0)}), 2e5), 5e9) AS revenue, {INDUSTRY} AS industry,
-    least(greatest({N(3, 3.0, 1.5)}, 1.0), 10.0) AS tenor_years,
-    CASE WHEN {U(4)} < 0.55 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS secured,
-    least(greatest(pow({U(5)}, 0.7), 0.05), 0.98) AS utilization,
-    least(greatest({N(6, 4.0, 3.0)}, 0.0), 20.0) AS relationship_years, {N(7, 0.0, 50.0)} AS noise FROM orders"""
+def loans_sql(key: str = "o_orderkey", rows: str = "orders", seed: int = SEED) -> str:
+    n, u = (lambda s, m, d: sql_normal(key, 100 * seed + s, m, d)), (lambda s: sql_uniform(key, 100 * seed + s))
+    industry = f"({list(INDUSTRY_RISK)!r})[CAST(floor({u(2)} * 6) + 1 AS INTEGER)]"
+    risk = "CASE industry " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in INDUSTRY_RISK.items()) + " END"
+    drawn = f"""SELECT {key}, 'LN' || lpad(CAST({key} AS VARCHAR), 8, '0') AS loan_id,
+    least(greatest({n(0, 680.0, 55.0)}, 520.0), 820.0) AS credit_score,
+    least(greatest(exp({n(1, 14.2, 1.0)}), 2e5), 5e9) AS revenue, {industry} AS industry,
+    least(greatest({n(3, 3.0, 1.5)}, 1.0), 10.0) AS tenor_years,
+    CASE WHEN {u(4)} < 0.55 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS secured,
+    least(greatest(pow({u(5)}, 0.7), 0.05), 0.98) AS utilization,
+    least(greatest({n(6, 4.0, 3.0)}, 0.0), 20.0) AS relationship_years, {n(7, 0.0, 50.0)} AS noise FROM {rows}"""
+    return f"""SELECT *, CAST({risk} AS DOUBLE) AS industry_risk, ln(revenue) AS log_revenue,
+        least(greatest(320.0 - 0.55 * (credit_score - 650.0) - 12.0 * (ln(revenue) - 14.0)
+          + 45.0 * (CAST({risk} AS DOUBLE) - 1.0) + 9.0 * (tenor_years - 3.0) - 28.0 * secured
+          + 70.0 * (utilization - 0.5) - 3.5 * relationship_years + noise, 40.0), 900.0) AS spread_bps FROM ({drawn})"""
+
+
+LOANS = loans_sql()
 
 
 @query(
     "synth_loans",
-    f"""SELECT loan_id, industry, secured, CAST({RISK} AS DOUBLE) AS industry_risk, round(credit_score, 4) AS credit_score,
-        round(revenue, 1) AS revenue, round(ln(revenue), 4) AS log_revenue, round(tenor_years, 4) AS tenor_years,
+    f"""SELECT loan_id, industry, secured, industry_risk, round(credit_score, 4) AS credit_score,
+        round(revenue, 1) AS revenue, round(log_revenue, 4) AS log_revenue, round(tenor_years, 4) AS tenor_years,
         round(utilization, 4) AS utilization, round(relationship_years, 4) AS relationship_years,
-        round(least(greatest(320.0 - 0.55 * (credit_score - 650.0) - 12.0 * (ln(revenue) - 14.0)
-          + 45.0 * (CAST({RISK} AS DOUBLE) - 1.0) + 9.0 * (tenor_years - 3.0) - 28.0 * secured
-          + 70.0 * (utilization - 0.5) - 3.5 * relationship_years + noise, 40.0), 900.0), 4) AS spread_bps FROM ({LOANS})""",
+        round(spread_bps, 4) AS spread_bps FROM ({LOANS})""",
 )
 def synth_loans_query(t):
     fine = ["credit_score", "log_revenue", "tenor_years", "utilization", "relationship_years", "spread_bps"]
@@ -65,12 +73,16 @@ def _flag(i: int, yes: float, no: float) -> str:
     return f"CAST({seen} <> ({sql_uniform('o_orderkey', 4264 + i)} < 0.15) AS INTEGER)"
 
 
+N, U = (lambda s, m, d: sql_normal("o_orderkey", 4200 + s, m, d)), (lambda s: sql_uniform("o_orderkey", 4200 + s))
+CARDS = f"""SELECT o_orderkey, 'TXN' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS transaction_id,
+        greatest(CASE WHEN fraud THEN {N(51, 700.0, 350.0)} ELSE {N(52, 250.0, 180.0)} END + {N(53, 0.0, 120.0)}, 1.0) AS amount,
+        {_flag(0, 0.55, 0.25)} AS night_txn, {_flag(1, 0.45, 0.20)} AS cross_border, {_flag(2, 0.35, 0.15)} AS device_change,
+        CAST(fraud <> ({U(80)} < 0.05) AS INTEGER) AS is_fraud FROM (SELECT o_orderkey, {U(50)} < 0.10 AS fraud FROM orders)"""
+
+
 @query(
     "synth_fraud",
-    f"""SELECT 'TXN' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS transaction_id,
-        round(greatest(CASE WHEN fraud THEN {N(51, 700.0, 350.0)} ELSE {N(52, 250.0, 180.0)} END + {N(53, 0.0, 120.0)}, 1.0), 4) AS amount,
-        {_flag(0, 0.55, 0.25)} AS night_txn, {_flag(1, 0.45, 0.20)} AS cross_border, {_flag(2, 0.35, 0.15)} AS device_change,
-        CAST(fraud <> ({U(80)} < 0.05) AS INTEGER) AS is_fraud FROM (SELECT o_orderkey, {U(50)} < 0.10 AS fraud FROM orders)""",
+    f"SELECT transaction_id, round(amount, 4) AS amount, night_txn, cross_border, device_change, is_fraud FROM ({CARDS})",
 )
 def synth_fraud_query(t):
     return rounded(cards(t), 4, "amount")
@@ -148,13 +160,15 @@ INDEXED = """(SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC,
 
 
 def indexed(t):
+    """Rows and the table of categories: each category's number and vector."""
     rows = t.events.select("event_id", "event_type")
-    return StringIndexer(inputCol="event_type", outputCol="idx", handleInvalid="keep").fit(rows).transform(rows)
+    return rows, one_hot_table(frequency_index(rows, "event_type"), "event_type", drop_last=False)
 
 
 @query("ml_index", f"SELECT event_id, i.idx FROM events e JOIN {INDEXED} ON e.event_type = i.event_type")
 def ml_index(t):
-    return indexed(t).select("event_id", "idx")
+    rows, table = indexed(t)
+    return join_categories(rows, table.drop("vec"), "event_type").select("event_id", "idx")
 
 
 @query(
@@ -164,35 +178,43 @@ def ml_index(t):
     + f" FROM events e JOIN {INDEXED} ON e.event_type = i.event_type",
 )
 def ml_onehot(t):
-    rows = indexed(t)
-    coded = OneHotEncoder(inputCols=["idx"], outputCols=["vec"], dropLast=True).fit(rows).transform(rows)
     names = [f"slot_{n}" for n in range(5)]
-    return models.expand(coded, "vec", names).select("event_id", *names)
+    return models.expand(join_categories(*indexed(t), "event_type"), "vec", names).select("event_id", *names)
 
 
 # ---- models ----
 
 
-def priced(t, **options):
-    train, test = models.split_random(loans(t), 0.8, SEED)
-    return models.regression_stages(DRIVERS, "spread_bps", **options).fit(train), test
+REG, FRAUD_REG = 0.05, 0.01
+TRAIN, TEST = (f"(SELECT * FROM ({LOANS}) WHERE {sql_uniform('o_orderkey', 0)} {sign} 0.8)" for sign in ("<", ">="))
+FITTED = "WITH RECURSIVE " + sqlmodels.linear(TRAIN, DRIVERS, "spread_bps", REG)
+
+
+def priced(t):
+    """A model of the spread, and the loans held out."""
+    train, test = models.split_hash(t.orders.select("o_orderkey"), "o_orderkey", 0.8)
+    train, test = (synth_loans(side, "o_orderkey", SEED) for side in (train, test))
+    return regression.fit_linear(train, DRIVERS, "spread_bps", REG), test
 
 
 @query("ml_stages")
 def ml_stages(t):
-    """Channel and numbers to a fraud probability through index, one-hot, scaling and a logistic model."""
-    rows = t.events.select(
-        "event_id", F.col("value").alias("amount"), F.col("event_type").alias("channel"), F.hour("ts").alias("txn_hour"),
-        (F.col("value") > 40).cast("int").alias("label"),
+    """Line status and numbers to the probability of a return through index, one-hot, scaling and a logistic model; on rows held out."""
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("label")
     )
-    fitted = models.classification_stages(["amount", "txn_hour"], ["channel"], "label").fit(rows)
-    return fitted.transform(rows).select("event_id", "channel", "label", "prediction")
+    train, test = models.split_hash(rows, "l_orderkey", 0.8)
+    fitted = models.classification_stages(["l_quantity", "l_discount"], ["l_linestatus"], "label").fit(train)
+    return fitted.transform(test).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
-@query("ml_linreg")
+@query(
+    "ml_linreg",
+    f"{FITTED} SELECT loan_id, round(spread_bps, 4) AS spread_bps, round({sqlmodels.margin(DRIVERS)}, 4) AS prediction FROM {TEST}, fit",
+)
 def ml_linreg(t):
     model, test = priced(t)
-    return models.score(model, test).select("loan_id", "spread_bps", "prediction")
+    return rounded(regression.predict_linear(model, test), 4, "spread_bps", "prediction").select("loan_id", "spread_bps", "prediction")
 
 
 @query(
@@ -207,42 +229,80 @@ def ml_linreg_simple(t):
     return t.spark.createDataFrame([row], "slope double, intercept double")
 
 
-@query("ml_coefficients")
+@query("ml_coefficients", f"{FITTED} {sqlmodels.coefficient_rows(DRIVERS, False, 6)}")
 def ml_coefficients(t):
-    model, test = priced(t, with_mean=True)
-    return models.coefficients(model, DRIVERS, test)
+    model, test = priced(t)
+    return rounded(model.table(test, raw=False), 6, "coefficient")
 
 
-@query("ml_coefficients_raw")
+@query("ml_coefficients_raw", f"{FITTED} {sqlmodels.coefficient_rows(DRIVERS, True, 6)}")
 def ml_coefficients_raw(t):
     model, test = priced(t)
-    return models.coefficients(model, DRIVERS, test, raw=True)
+    return rounded(model.table(test), 6, "coefficient")
 
 
-@query("ml_score")
+@query(
+    "ml_score",
+    f"{FITTED} SELECT loan_id, round({sqlmodels.margin(DRIVERS)}, 4) AS prediction FROM ({loans_sql('c_custkey', 'customer', SEED + 1)}), fit",
+)
 def ml_score(t):
     """Later loans, known by their revenue; the logarithm is derived in the scoring job."""
     model, _ = priced(t)
     fresh = synth_loans(t.customer.select("c_custkey"), "c_custkey", SEED + 1).drop("log_revenue", "spread_bps")
-    return models.score(model, fresh, {"log_revenue": F.log("revenue")}).select("loan_id", "prediction")
+    scored = regression.predict_linear(model, fresh, derived={"log_revenue": F.log("revenue")})
+    return rounded(scored, 4, "prediction").select("loan_id", "prediction")
+
+
+@query(
+    "ml_residual_summary",
+    f"""{FITTED} SELECT count(*) AS n, round(avg(e), 4) AS mean, round(stddev_samp(e), 4) AS stddev, round(min(e), 4) AS min, round(max(e), 4) AS max,
+        round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2
+        FROM (SELECT spread_bps AS y, spread_bps - {sqlmodels.margin(DRIVERS)} AS e FROM {TEST}, fit)""",
+)
+def ml_residual_summary(t):
+    model, test = priced(t)
+    out = metrics.residual_summary(regression.predict_linear(model, test), "spread_bps", "prediction")
+    return rounded(rounded(out, 4, "mean", "stddev", "min", "max", "rmse", "mae"), 6, "r2")
+
+
+FRAUD_TRAIN, FRAUD_TEST = (f"(SELECT * FROM ({CARDS}) WHERE {sql_uniform('o_orderkey', SEED)} {sign} 0.8)" for sign in ("<", ">="))
+FRAUD_FITTED = "WITH RECURSIVE " + sqlmodels.logistic(FRAUD_TRAIN, SIGNALS, "is_fraud", FRAUD_REG)
 
 
 def fraud_split(t):
-    return models.split_stratified(cards(t), "is_fraud", "transaction_id", {0: 0.8, 1: 0.8}, SEED)
+    rows = cards(t).withColumn("number", F.substring("transaction_id", 4, 12).cast("long"))
+    return models.split_stratified(rows, "is_fraud", "number", {0: 0.8, 1: 0.8}, SEED)
 
 
-@query("ml_logreg")
+@query(
+    "ml_logreg",
+    f"""{FRAUD_FITTED} SELECT transaction_id, is_fraud, round(p, 6) AS probability, CAST(p > 0.5 AS DOUBLE) AS prediction
+        FROM (SELECT *, 1 / (1 + exp(-{sqlmodels.margin(SIGNALS)})) AS p FROM {FRAUD_TEST}, fit)""",
+)
 def ml_logreg(t):
     train, test = fraud_split(t)
-    fitted = models.classification_stages(SIGNALS, [], "is_fraud").fit(train)
-    return fitted.transform(test).select("transaction_id", "is_fraud", "prediction")
+    scored = regression.predict_logistic(regression.fit_logistic(train, SIGNALS, "is_fraud", FRAUD_REG), test)
+    return rounded(scored, 6, "probability").select("transaction_id", "is_fraud", "probability", "prediction")
+
+
+@query("ml_logreg_coefficients", f"{FRAUD_FITTED} {sqlmodels.coefficient_rows(SIGNALS, False, 6)}")
+def ml_logreg_coefficients(t):
+    train, _ = fraud_split(t)
+    return rounded(regression.fit_logistic(train, SIGNALS, "is_fraud", FRAUD_REG).table(train, raw=False), 6, "coefficient")
 
 
 @query("ml_crossval")
 def ml_crossval(t):
     train, _ = fraud_split(t)
-    fitted = models.grid_search(models.classification_stages(SIGNALS, [], "is_fraud"), train, "is_fraud")
-    return models.grid_results(train, fitted)
+    return rounded(regression.cross_validate(train, SIGNALS, "is_fraud", "number")[0], 6, "auc")
+
+
+@query("ml_crossval_score")
+def ml_crossval_score(t):
+    """The held-out transactions, scored by the best setting of the grid."""
+    train, test = fraud_split(t)
+    _, best = regression.cross_validate(train, SIGNALS, "is_fraud", "number")
+    return rounded(regression.predict_logistic(best, test), 6, "probability").select("transaction_id", "is_fraud", "probability", "prediction")
 
 
 # ---- metrics on a fixed prediction ----

@@ -77,6 +77,28 @@ def feat_sum_30d(t):
     return as_double(out.select("event_id", "sum_30d"), "sum_30d")
 
 
+@query(
+    "win_range_raw",
+    f"SELECT event_id, round(sum(value) OVER ({D7}), 6) AS sum_7d, round(sum(value) OVER ({D30}), 6) AS sum_30d FROM events",
+)
+def win_range_raw(t):
+    """Floating amounts as they are, without a cast to decimals."""
+    aggs = {"sum_7d": ("sum", F.col("value")), "sum_30d": ("sum", F.col("value"))}
+    out = wx.over_days(rows(t), KEY, TS, {"sum_7d": 7, "sum_30d": 30}, aggs, TIE)
+    return out.select("event_id", F.round("sum_7d", 6).alias("sum_7d"), F.round("sum_30d", 6).alias("sum_30d"))
+
+
+@query(
+    "feat_io_ratio_raw",
+    f"""SELECT event_id, round(sum(CASE WHEN event_type = 'click' THEN value ELSE 0 END) OVER w
+        / nullif(sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) OVER w, 0), 6) AS flow_ratio FROM events WINDOW w AS ({D7})""",
+)
+def feat_io_ratio_raw(t):
+    kind = F.col("event_type")
+    out = fx.flow_ratio(rows(t), KEY, TS, F.col("value"), kind == "click", kind == "purchase", 7, TIE)
+    return out.select("event_id", F.round("flow_ratio", 6).alias("flow_ratio"))
+
+
 LAST30 = f"{ORDERED} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 
 
