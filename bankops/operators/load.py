@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +13,8 @@ from bankops.functions.columns import fingerprint
 from bankops.operators.relational import drop_known, latest_per_key
 from bankops.operators.skew import running
 from bankops.session import stored
-from bankops.sources.files import path_exists, read_source, remove_path, write_sink
+from bankops.sources.files import has_data, path_exists, read_source, remove_path, write_sink
+from bankops.sources.journal import Journal, append_once, claim_blocks, claimed_blocks, step_name
 
 # Texts and names that stored logs carry.
 PASS, REJECT = "PASS", "REJECT"
@@ -21,12 +23,10 @@ MISSING_KEY = "[MISSING_KEY] No Transaction ID"
 DUPLICATE = "[DUPLICATE] Transaction ID already exists in target"
 DUPLICATE_IN_SOURCE = "[DUPLICATE_IN_SOURCE] Transaction ID repeated in source"
 CONTROL_SCHEMA = (
-    "Batch_ID string, Dataset string, Status string, Count_Summary string, Hash_Status string, Run_Time string"
+    "Batch_ID string, Dataset string, Status string, Count_Summary string, Hash_Status string, Run_Time string, Attempt int"
 )
 
 HELPERS = ("validation_status", "error_reason", "row_hash")
-# The most partitions of the target one batch may rewrite one by one; beyond it the table is rewritten whole.
-TOUCHED_PARTITIONS = 10_000
 
 
 @dataclass(frozen=True)
@@ -157,37 +157,35 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     """Upsert into a Parquet folder.
 
     Source and table must have the same columns, and the source one row for each key; otherwise it raises and changes nothing.
-    With a partition column only the partitions are rewritten that the source writes to or takes a key from;
-    a partition left without rows is removed. Everything is computed before the first file changes. A source that touches
-    more than TOUCHED_PARTITIONS partitions leads to a rewrite of the whole table.
+    With a partition column only the partitions are rewritten that the source writes to or takes a key from; they are named by a
+    join, whatever their number, and a partition left without rows is removed. The source is computed once, and everything is
+    computed before the first file changes.
     """
+    source = stored(source)
     if not source.groupBy(*keys).count().where("count > 1").limit(1).isEmpty():
         raise ValueError(f"the source has several rows for one key {list(keys)}")
     parts = [partition_by] if partition_by else []
-    if not path_exists(spark, path):
-        write_sink(source, path, partition_by=parts)
+    if not has_data(spark, path):
+        write_sink(source, path, mode="overwrite", partition_by=parts)
         return
     held = spark.read.parquet(path).columns
     if set(held) != set(source.columns):
         raise ValueError(f"the table has columns {sorted(held)}, the source {sorted(source.columns)}")
     target = read_source(spark, path, schema=source.schema)
-    if partition_by:
-        old = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi")
-        touched = old.select(partition_by).union(source.select(partition_by)).distinct()
-        values = [r[0] for r in touched.limit(TOUCHED_PARTITIONS + 1).collect()]
-        if len(values) <= TOUCHED_PARTITIONS:
-            known = [v for v in values if v is not None]
-            wanted = F.col(partition_by).isin(known)
-            affected = target.filter(wanted | F.col(partition_by).isNull() if None in values else wanted)
-            result = stored(upsert(affected, source, keys))
-            left = {r[0] for r in result.select(partition_by).distinct().collect()}
-            gathered = result.hint("rebalance", F.col(partition_by))
-            gathered.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-            for gone in set(values) - left:
-                remove_path(spark, f"{path.rstrip('/')}/{partition_by}={folder_value(spark, gone)}")
-            spark.catalog.refreshByPath(path)
-            return
-    write_sink(upsert(target, source, keys), path, mode="overwrite", partition_by=parts)
+    if not partition_by:
+        write_sink(upsert(target, source, keys), path, mode="overwrite")
+        return
+    old = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi")
+    touched = stored(old.select(partition_by).union(source.select(partition_by)).distinct())
+    here = target[partition_by].eqNullSafe(touched[partition_by])
+    result = stored(upsert(target.join(touched, here, "left_semi"), source, keys))
+    left = result.select(partition_by).distinct()
+    empty = touched.join(left, touched[partition_by].eqNullSafe(left[partition_by]), "left_anti")
+    gathered = result.hint("rebalance", F.col(partition_by))
+    gathered.write.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    for row in empty.toLocalIterator():  # partitions that lost their last row: folders, removed one by one
+        remove_path(spark, f"{path.rstrip('/')}/{partition_by}={folder_value(spark, row[0])}")
+    spark.catalog.refreshByPath(path)
 
 
 def folder_value(spark: SparkSession, value) -> str:
@@ -223,42 +221,67 @@ def run_batch(
     dataset: str = "bank_accounts",
     hash_cols: Sequence[str] = ("transaction_id", "amount", "transaction_date"),
     partition_by: str | None = None,
-    run_time: str = "",
+    run_time: str | None = None,
     reject_repeated: bool = False,
 ) -> BatchResult:
     """All or nothing: any reject logs the rejects and writes no target row.
 
-    ``target``, ``control`` and ``rejects`` are Parquet folders. The control row comes last, so a batch
-    without one did not finish; running it again under its id is safe, since its own stored rows do not
-    count as duplicates and are replaced.
+    ``target``, ``control`` and ``rejects`` are Parquet folders. Steps happen once: rejects and the control row are appended under
+    the batch's and attempt's name, and a finished target step is recorded beside the control table. A run that stopped anywhere can be
+    run again with the same rows: it does what was not done, and skips what was. The control row comes last, so a batch without one
+    did not finish, and a batch with one starts its next attempt, whose rows replace those it stored before.
+    ``run_time`` is written as given; without it the clock times of start and end are, or FAIL for the end of a refused batch.
     """
+    start = time.strftime("%H:%M:%S")
+    journal = Journal(spark, f"{control.rstrip('/')}/_steps")
+    attempt = 0
+    while journal.done(batch_id, attempt, "control"):
+        attempt += 1
+    name = step_name(batch_id, attempt)
+    if path_exists(spark, f"{control.rstrip('/')}/_done-{name}"):  # stopped between the control row and its record
+        journal.mark(batch_id, attempt, "control")
+        return _result(read_source(spark, control).filter((F.col("Batch_ID") == batch_id) & (F.col("Attempt") == attempt)).first())
     known = None
-    if path_exists(spark, target):
+    if has_data(spark, target):
         known = read_source(spark, target).filter(F.col("batch_id") != batch_id)
-    checked = check_batch(source, known, key, rules, hash_cols, reject_repeated).persist()
-    try:
-        entry = control_row(checked, batch_id, dataset, run_time)
-        row = entry.first()
-        total, success, bad = (int(n) for n in row.Count_Summary.split(" / "))
-        good_rows, bad_rows = split(checked)
-        if bad:
-            write_sink(reject_rows(bad_rows, batch_id, dataset, key, as_of), rejects, mode="append")
-        else:
-            upsert_table(spark, target, normalise(good_rows, batch_id, as_of, key), [key], partition_by)
-        write_sink(spark.createDataFrame([row], CONTROL_SCHEMA), control, mode="append")
-    finally:
-        checked.unpersist()
-    return BatchResult(batch_id, row.Status, total, success, bad)
+    checked = stored(check_batch(source, known, key, rules, hash_cols, reject_repeated))
+    row = control_row(checked, batch_id, dataset).first()
+    good_rows, bad_rows = split(checked)
+    if row.Status == "FAILURE":
+        append_once(reject_rows(bad_rows, batch_id, dataset, key, as_of), rejects, name)
+    elif not journal.done(batch_id, attempt, "target"):
+        upsert_table(spark, target, normalise(good_rows, batch_id, as_of, key), [key], partition_by)
+        journal.mark(batch_id, attempt, "target")
+    if run_time is None:
+        run_time = f"{start} - {'FAIL' if row.Status == 'FAILURE' else time.strftime('%H:%M:%S')}"
+    entry = spark.createDataFrame([(*row[:5], run_time, attempt)], CONTROL_SCHEMA)
+    append_once(entry, control, name)
+    journal.mark(batch_id, attempt, "control")
+    return _result(row)
+
+
+def _result(row) -> BatchResult:
+    return BatchResult(row.Batch_ID, row.Status, *(int(n) for n in row.Count_Summary.split(" / ")))
 
 
 class BatchFailed(RuntimeError):
     pass
 
 
+def batch_status(control: DataFrame) -> DataFrame:
+    """Batch_ID, Status, Attempt: what the latest attempt of each batch came to; of rows without an attempt, FAILURE if there is any."""
+    attempt = F.coalesce(F.col("Attempt"), F.lit(0)) if "Attempt" in control.columns else F.lit(0)
+    worst = F.when(F.col("Status") == "FAILURE", 1).otherwise(0)
+    latest = control.groupBy("Batch_ID").agg(F.max_by("Status", F.struct(attempt, worst)).alias("Status"), F.max(attempt).alias("Attempt"))
+    return latest
+
+
 def assert_batch_ok(control: DataFrame, batch_id: str) -> None:
-    """Stop a job chain when the control table reports the batch as failed."""
-    failed = control.filter((F.col("Batch_ID") == batch_id) & (F.col("Status") == "FAILURE"))
-    if not failed.isEmpty():
+    """Stop a job chain when the latest attempt of the batch failed, or when the batch never finished."""
+    row = batch_status(control.filter(F.col("Batch_ID") == batch_id)).first()
+    if row is None:
+        raise BatchFailed(f"batch {batch_id} has no control row")
+    if row.Status == "FAILURE":
         raise BatchFailed(f"batch {batch_id} failed, see the reject table")
 
 
@@ -277,6 +300,47 @@ def assign_ids(
     return numbered.withColumn(name, F.concat(F.lit(prefix), text)).drop("_n")
 
 
+def claim_ids(
+    df: DataFrame, sequence: str, order: str, prefix: str = "TXN-", width: int = 0, name: str = "transaction_id", block: int = 1_000_000,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Ids of a sequence shared by several loads, in the order of a unique column.
+
+    ``sequence`` is the folder of the sequence's claims. The rows' number is known before ids are claimed, blocks are claimed by files that only one
+    load can make, and row r takes place r of the claimed blocks; so two loads at once never draw one id. Ids ascend within a
+    load; unused ones are gaps (see ``sequence_gaps``).
+    """
+    spark = df.sparkSession
+    numbered = stored(running(df, [], [F.col(order)], {"_n": ("count", F.lit(1))}, hot_rows))
+    blocks = claim_blocks(spark, sequence, numbered.count(), block)
+    held = spark.createDataFrame(list(enumerate(blocks)) or [(0, 0)], "_place long, _block long")
+    at = F.col("_n") - 1
+    placed = numbered.join(F.broadcast(held), F.floor(at / block) == F.col("_place"))  # a row for each block
+    number = (F.col("_block") * block + at % block + 1).cast("string")
+    text = F.lpad(number, width, "0") if width else number
+    return placed.withColumn(name, F.concat(F.lit(prefix), text)).select(*df.columns, name)
+
+
+def sequence_gaps(spark: SparkSession, sequence: str, used: DataFrame, number: Column, block: int = 1_000_000) -> DataFrame:
+    """block, first_id, last_id, n_used, n_gaps of each claimed block; ``number`` is the whole-number id in the rows of ``used``."""
+    blocks = spark.createDataFrame([(b,) for b in claimed_blocks(spark, sequence)], "block long")
+    counts = used.groupBy(F.floor((number.cast("long") - 1) / block).alias("block")).agg(F.count(F.lit(1)).alias("n_used"))
+    n = F.coalesce("n_used", F.lit(0))
+    return blocks.join(counts, "block", "left").select(
+        "block", (F.col("block") * block + 1).alias("first_id"), ((F.col("block") + 1) * block).alias("last_id"), n.alias("n_used"), (F.lit(block) - n).alias("n_gaps")
+    )
+
+
+def daily_load(
+    spark: SparkSession, rows: DataFrame, order: str, sequence: str, target: str, control: str, rejects: str, batch_id: str, as_of: str | Column,
+    rules: Sequence[Rule], key: str = "transaction_id", block: int = 1_000_000, **options,
+) -> BatchResult:
+    """One day's chain: draw ids for the rows, load them as a batch, and stop the chain if the batch is refused."""
+    result = run_batch(spark, claim_ids(rows, sequence, order, name=key, block=block), target, control, rejects, key, rules, batch_id, as_of, **options)
+    assert_batch_ok(read_source(spark, control), batch_id)
+    return result
+
+
 def advance_sequence(control: DataFrame, name: str, last_id: Column) -> DataFrame:
     """The sequence table with one row's last id replaced."""
     here = F.col("table_name") == name

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankops.operators.load import upsert
+from bankops.operators.load import upsert_table
 from bankops.operators.relational import keep_known, latest_per_key
 from bankops.operators.skew import running
-from bankops.sources.files import path_exists, read_source, write_sink
+from bankops.session import stored
+from bankops.sources.files import read_source, write_sink
 
 
 @dataclass(frozen=True)
@@ -80,15 +81,19 @@ def point_in_time(
     return training_set(labels, [known], keys, event_ts, tie, hot_rows)
 
 
-def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "merge") -> None:
-    """Create a feature table, or merge rows into it on its key. A key given twice is refused."""
-    doubled = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    if not doubled.isEmpty():
-        raise ValueError(f"feature rows are not unique on {list(keys)}")
+def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "merge", partition_by: str | None = None) -> None:
+    """Create a feature table, or merge rows into it on its key. A key given twice is refused.
+
+    With a partition column a merge rewrites only the partitions that its rows touch. The rows are computed once.
+    """
     spark = df.sparkSession
-    if mode == "merge" and path_exists(spark, path):
-        df = upsert(read_source(spark, path), df, keys)
-    write_sink(df, path, mode="overwrite")
+    if mode == "merge":
+        upsert_table(spark, path, df, keys, partition_by)
+        return
+    df = stored(df)
+    if not df.groupBy(*keys).count().where("count > 1").limit(1).isEmpty():
+        raise ValueError(f"feature rows are not unique on {list(keys)}")
+    write_sink(df, path, mode="overwrite", partition_by=[partition_by] if partition_by else ())
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

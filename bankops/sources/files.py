@@ -32,6 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Does a table's folder hold anything to read? A job that stopped early may leave a folder without."""
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, p = _filesystem(spark, path)
     fs.delete(p, True)
@@ -56,7 +62,8 @@ def write_sink(
     """Write a folder of part files.
 
     Overwriting writes next to the target first and swaps the folders only when that has succeeded, so a
-    failed job leaves the old data, and a frame may overwrite the path it is read from. Rows of a
+    failed job leaves the old data, and a frame may overwrite the path it is read from. Between the two renames of the swap there is no
+    table for a moment; ``bankops.sources.journal.publish`` has no such moment, for readers that follow its pointer. Rows of a
     partitioned write are first gathered by partition value, of which adaptive execution splits large ones
     and merges small ones: few files, and no task holding a heavy value whole.
     """
