@@ -194,15 +194,10 @@ def filter_compare(t):
     return t.events.filter((F.col("value") >= 50) & (F.col("event_type") != "view")).select("event_id", "value")
 
 
-@query(
-    "filter_null",
-    """SELECT c.c_custkey FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') o
-       ON c.c_custkey = o.o_custkey WHERE o.o_custkey IS NULL""",
-)
+@query("filter_null", "SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL")
 def filter_null(t):
-    pending = t.orders.filter("o_orderstatus = 'P'").select("o_custkey").distinct()
-    joined = t.customer.join(pending, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.filter(F.col("o_custkey").isNull()).select("c_custkey")
+    joined = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    return joined.filter(F.col("quality").isNull()).select("doc_id")
 
 
 @query(

@@ -14,6 +14,7 @@ from bankops.operators.aggregates import (
     salted_agg,
     target_encode_apply,
     target_encode_fit,
+    text_stats,
 )
 from bankops.operators.point_in_time import (
     FeatureSet,
@@ -36,44 +37,56 @@ def customers(t):
     return t.customer.select("c_custkey", "c_mktsegment")
 
 
-def pending(t):
-    return t.orders.filter("o_orderstatus = 'P'").select("o_orderkey", "o_custkey")
+def items(t):
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-def rich(t):
-    return t.customer.filter("c_acctbal > 5000").select("c_custkey", "c_mktsegment")
+def days(t):
+    """Orders placed and items shipped by day; some days have only one of the two."""
+    placed = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("o_day")).agg(F.count(F.lit(1)).alias("n_orders"))
+    shipped = t.lineitem.groupBy(F.col("l_shipdate").cast("date").alias("l_day")).agg(F.count(F.lit(1)).alias("n_items"))
+    return placed, shipped
 
 
-PENDING = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P') o"
-RICH = "(SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 5000) c"
-BOTH = "c.c_custkey, c.c_mktsegment, o.o_orderkey"
-KEYS = {"c_custkey": "o_custkey"}
-OUT = ["c_custkey", "c_mktsegment", "o_orderkey"]
+PLACED = "(SELECT CAST(o_orderdate AS DATE) AS o_day, count(*) AS n_orders FROM orders GROUP BY 1)"
+SHIPPED = "(SELECT CAST(l_shipdate AS DATE) AS l_day, count(*) AS n_items FROM lineitem GROUP BY 1)"
 
 
-@query("join_left", f"SELECT {BOTH} FROM customer c LEFT JOIN {PENDING} ON c.c_custkey = o.o_custkey")
+@query("join_left", "SELECT o_orderkey, o_custkey, l_linenumber, l_quantity FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey")
 def join_left(t):
-    return join_on(customers(t), pending(t), KEYS, "left").select(*OUT)
+    """Every order with its items; some have none."""
+    out = join_on(t.orders.select("o_orderkey", "o_custkey"), items(t), {"o_orderkey": "l_orderkey"}, "left")
+    return out.select("o_orderkey", "o_custkey", "l_linenumber", "l_quantity")
 
 
-@query("join_right", f"SELECT {BOTH} FROM {RICH} RIGHT JOIN {PENDING} ON c.c_custkey = o.o_custkey")
+@query("join_right", "SELECT d.doc_id, d.lang, l.quality FROM labels l RIGHT JOIN documents d ON l.doc_id = d.doc_id")
 def join_right(t):
-    return join_on(rich(t), pending(t), KEYS, "right").select(*OUT)
+    """Every document with its label; most have none."""
+    labels = t.labels.select(F.col("doc_id").alias("label_id"), "quality")
+    return join_on(labels, t.documents.select("doc_id", "lang"), {"label_id": "doc_id"}, "right").select("doc_id", "lang", "quality")
 
 
-@query("join_inner", f"SELECT {BOTH} FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey")
+@query(
+    "join_inner",
+    "SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey",
+)
 def join_inner(t):
-    return join_on(customers(t), t.orders, KEYS).select(*OUT)
+    return join_on(customers(t), t.orders, {"c_custkey": "o_custkey"}).select("c_custkey", "c_mktsegment", "o_orderkey")
 
 
-@query("join_full", f"SELECT {BOTH} FROM {RICH} FULL JOIN {PENDING} ON c.c_custkey = o.o_custkey")
+@query(
+    "join_full",
+    f"SELECT CAST(o_day AS VARCHAR) AS o_day, CAST(l_day AS VARCHAR) AS l_day, n_orders, n_items FROM {PLACED} FULL JOIN {SHIPPED} ON o_day = l_day",
+)
 def join_full(t):
-    return join_on(rich(t), pending(t), KEYS, "fullouter").select(*OUT)
+    out = join_on(*days(t), {"o_day": "l_day"}, "fullouter")
+    return out.select(F.col("o_day").cast("string"), F.col("l_day").cast("string"), "n_orders", "n_items")
 
 
-@query("join_anti", f"SELECT c_custkey FROM customer c ANTI JOIN {PENDING} ON c.c_custkey = o.o_custkey")
+@query("join_anti", "SELECT o_orderkey FROM orders ANTI JOIN lineitem ON o_orderkey = l_orderkey")
 def join_anti(t):
-    return join_on(customers(t), pending(t), KEYS, "left_anti").select("c_custkey")
+    """Orders without an item."""
+    return join_on(t.orders.select("o_orderkey"), items(t), {"o_orderkey": "l_orderkey"}, "left_anti")
 
 
 @query(
@@ -86,20 +99,18 @@ def join_using(t):
     return left.join(right, on="nationkey", how="inner")
 
 
-@query("join_semi", f"SELECT c_custkey, c_mktsegment FROM customer c SEMI JOIN {PENDING} ON c.c_custkey = o.o_custkey")
+@query("join_semi", "SELECT c_custkey, c_mktsegment FROM customer SEMI JOIN events ON c_custkey = user_id")
 def join_semi(t):
-    keys = pending(t).select(F.col("o_custkey").alias("c_custkey"))
-    return keep_known(customers(t), keys, ["c_custkey"])
+    """Customers with events."""
+    return keep_known(customers(t), t.events.select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
 
 
 @query(
     "not_exists",
-    """SELECT p_partkey FROM part WHERE NOT EXISTS (
-       SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 40 AND l_returnflag = 'R')""",
+    "SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
 )
 def not_exists(t):
-    returns = t.lineitem.filter("l_quantity > 40 AND l_returnflag = 'R'")
-    return drop_known(t.part.select("p_partkey"), returns.select(F.col("l_partkey").alias("p_partkey")), ["p_partkey"])
+    return drop_known(t.documents.select("doc_id", "lang"), t.labels, ["doc_id"])
 
 
 # ---- aggregates ----
@@ -185,6 +196,16 @@ def agg_describe(t):
     return out.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
+TEXTS = ("l_returnflag", "l_linestatus")
+TEXT_SQL = """SELECT '{c}' AS "column", count({c}) AS n, count(DISTINCT {c}) AS n_distinct, min({c}) AS min, max({c}) AS max,
+    min(length({c})) AS min_length, max(length({c})) AS max_length FROM lineitem"""
+
+
+@query("agg_describe_text", " UNION ALL ".join(TEXT_SQL.format(c=c) for c in TEXTS))
+def agg_describe_text(t):
+    return text_stats(t.lineitem, TEXTS)
+
+
 @query(
     "agg_salted",
     f"SELECT l_suppkey, {MONEY.format(c='l_extendedprice')} AS revenue, count(*) AS n FROM lineitem GROUP BY l_suppkey",
@@ -319,12 +340,13 @@ WEEKLY = """SELECT event_id, user_id, ts, count(*) OVER w AS n_7d,
 
 @query("feature_table", f"SELECT event_id, user_id, n_7d, sum_7d FROM ({WEEKLY})")
 def feature_table(t):
+    """Two loads of a table by day: the first half of the month, then the days after it, which are all that is written."""
     path = scratch_path(t.spark, "features")
-    rows = weekly(t)
-    key = ["user_id", "ts"]
-    write_features(rows.filter("n_7d = 1"), path, key)  # created with part of the rows, then merged with all
-    write_features(rows, path, key, mode="merge")
-    return read_features(t.spark, path).drop("ts")
+    rows = weekly(t).withColumn("day", F.to_date("ts").cast("string"))
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (rows.filter(~late), rows.filter(late)):
+        write_features(part, path, ["event_id"], partition_by="day")
+    return read_features(t.spark, path).drop("ts", "day")
 
 
 @query(

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankops.operators import layout
 from bankops.operators import load as ld
 from bankops.plans.registry import query
-from bankops.session import scratch_path
+from bankops.session import scratch_path, stored
 from bankops.sources.files import read_source, write_sink
+from bankops.sources.journal import publish, read_published
 
 KEY = "transaction_id"
 
@@ -67,7 +72,7 @@ def etl_dup_check(t):
     f"""SELECT CASE WHEN error_reason IS NULL THEN 'good' ELSE 'bad' END AS side, count(*) AS n FROM ({CHECKED}) GROUP BY 1""",
 )
 def etl_split(t):
-    good, bad = ld.split(checked(t))
+    good, bad = ld.split(stored(checked(t).select("validation_status")))
     sides = good.select(F.lit("good").alias("side")).unionByName(bad.select(F.lit("bad").alias("side")))
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
@@ -96,17 +101,15 @@ def etl_control(t):
 
 @query(
     "etl_upsert",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2 END AS price FROM orders
-       WHERE o_orderstatus IN ('F', 'O')""",
+    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2 END AS price FROM orders",
 )
 def etl_upsert(t):
-    """Stored final and open orders; the batch doubles the open ones and is partly new."""
+    """Stored final and some open orders; the batch doubles the open ones and brings the pending ones."""
     path = scratch_path(t.spark, "upsert")
-    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    old = rows.filter("o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority < '4')")
-    keep = ["o_orderkey", F.col("o_totalprice").alias("price"), "o_orderpriority"]
-    new = rows.filter("o_orderstatus = 'O'").select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), "o_orderpriority")
-    write_sink(old.select(*keep), path, partition_by=["o_orderpriority"])
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderpriority", "o_orderstatus")
+    old = rows.filter("o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority < '4')").drop("o_orderstatus")
+    new = rows.filter("o_orderstatus <> 'F'").withColumn("price", F.col("price") * 2).drop("o_orderstatus")
+    write_sink(old, path, partition_by=["o_orderpriority"])
     ld.upsert_table(t.spark, path, new, ["o_orderkey"], partition_by="o_orderpriority")
     return read_source(t.spark, path).select("o_orderkey", "price")
 
@@ -118,9 +121,10 @@ def etl_upsert(t):
 )
 def etl_normalise(t):
     good, _ = ld.split(checked(t).drop("o_orderstatus", "o_orderkey"))
+    good = stored(good)
     twice = good.unionByName(good)  # a feed that repeats itself
-    stored = ld.normalise(twice, "b1", "2024-01-31 00:00:00")
-    return stored.select(KEY, "account_id", F.col("transaction_date").cast("string"), F.col("amount").cast("double"), "batch_id")
+    kept = ld.normalise(twice, "b1", "2024-01-31 00:00:00")
+    return kept.select(KEY, "account_id", F.col("transaction_date").cast("string"), F.col("amount").cast("double"), "batch_id")
 
 
 @query(
@@ -134,14 +138,48 @@ def etl_run(t):
     """A clean first batch, then the whole feed, which must be refused."""
     paths = [scratch_path(t.spark, n) for n in ("target", "control", "rejects")]
     feed = source(t).withColumn("period", F.year("transaction_date").cast("string"))
-    stored = ["transaction_id", "account_id", "transaction_date", "amount", "period"]
-    clean = feed.filter("o_orderstatus = 'F'").select(*stored)
+    held = ["transaction_id", "account_id", "transaction_date", "amount", "period"]
+    clean = feed.filter("o_orderstatus = 'F'").select(*held)
     stamp = "2024-01-31 00:00:00"
-    for batch, rows in (("b1", clean), ("b2", feed.select(*stored))):
+    for batch, rows in (("b1", clean), ("b2", feed.select(*held))):
         ld.run_batch(t.spark, rows, *paths, KEY, ld.standard_rules("amount", KEY), batch, stamp, partition_by="period")
     return read_source(t.spark, paths[1]).select("Batch_ID", "Status", "Count_Summary", "Hash_Status")
 
 
+@query(
+    "etl_gate",
+    f"""SELECT 'b1' AS "Batch_ID", 1 AS "Attempt", 'SUCCESS' AS "Status" UNION ALL
+        SELECT 'b2', 0, CASE WHEN bad > 0 THEN 'FAILURE' ELSE 'SUCCESS' END FROM (SELECT count(error_reason) AS bad FROM ({CHECKED}))""",
+)
+def etl_gate(t):
+    """What the gate sees: a batch that was refused and mended under its id, and one that stays refused."""
+    paths = [scratch_path(t.spark, n) for n in ("target", "control", "rejects")]
+    feed = source(t).drop("o_orderstatus", "o_orderkey")
+    clean = target(t).drop("o_orderstatus", "o_orderkey")
+    for batch, rows in (("b1", feed), ("b1", clean), ("b2", feed)):
+        ld.run_batch(t.spark, rows, *paths, KEY, ld.standard_rules("amount", KEY), batch, "2024-01-31 00:00:00")
+    return ld.batch_status(read_source(t.spark, paths[1])).select("Batch_ID", "Attempt", "Status")
+
+
+@query(
+    "etl_daily",
+    """SELECT 'TXN-' || (row_number() OVER (ORDER BY o_orderkey) + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE blocks * 1000 END) AS transaction_id, o_orderkey
+       FROM (SELECT o_orderkey, o_orderstatus, (SELECT (count(*) + 999) // 1000 FROM orders WHERE o_orderstatus = 'F') AS blocks FROM orders WHERE o_orderstatus = 'F')
+       UNION ALL SELECT 'TXN-' || (row_number() OVER (ORDER BY o_orderkey) + blocks * 1000), o_orderkey
+       FROM (SELECT o_orderkey, (SELECT (count(*) + 999) // 1000 FROM orders WHERE o_orderstatus = 'F') AS blocks FROM orders WHERE o_orderstatus <> 'F')""",
+)
+def etl_daily(t):
+    """Two days of the chain: draw ids from the shared sequence, load, pass the gate."""
+    paths = [scratch_path(t.spark, n) for n in ("sequence", "target", "control", "rejects")]
+    rows = t.orders.select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("transaction_date"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), "o_orderstatus"
+    )
+    rules = ld.standard_rules("amount", KEY)
+    for day, part in (("d1", rows.filter("o_orderstatus = 'F'")), ("d2", rows.filter("o_orderstatus <> 'F'"))):
+        ld.daily_load(t.spark, part.drop("o_orderstatus"), "o_orderkey", *paths, day, "2024-01-31 00:00:00", rules, block=1000)
+    return read_source(t.spark, paths[1]).select(KEY, "o_orderkey")
+
+
 @query(
     "etl_batch_read",
     "SELECT 'TXN-' || o_orderkey AS transaction_id, o_totalprice AS amount FROM orders WHERE o_orderstatus = 'F'",
@@ -221,6 +259,71 @@ def layout_zorder(t):
     return read_source(t.spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+def by_account(t):
+    """Orders clustered by account, a text, and day, inside each status."""
+    path = scratch_path(t.spark, "zorder-text")
+    rows = t.orders.select(
+        "o_orderkey", F.concat(F.lit("ACC-"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("account_id"),
+        F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus",
+    )
+    layout.write_zordered(rows, path, ["account_id", "day"], files=16, partition_by=["o_orderstatus"])
+    return path
+
+
+ACCOUNTS = """SELECT o_orderkey, 'ACC-' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS account_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
+    o_orderstatus FROM orders"""
+
+
+@query("layout_zorder_text", ACCOUNTS)
+def layout_zorder_text(t):
+    return read_source(t.spark, by_account(t)).select("o_orderkey", "account_id", F.col("day").cast("string"), "o_orderstatus")
+
+
+@query(
+    "layout_zone_scan",
+    f"SELECT * FROM ({ACCOUNTS}) WHERE account_id BETWEEN 'ACC-00000010' AND 'ACC-00000019' AND day >= '1996-01-01'",
+)
+def layout_zone_scan(t):
+    """A range of accounts and days, read from the files that can hold it."""
+    path = by_account(t)
+    zones = layout.zone_map(t.spark, path, ["account_id", "day"])
+    ranges = {"account_id": ("ACC-00000010", "ACC-00000019"), "day": (datetime.date(1996, 1, 1), None)}
+    out = layout.read_zones(t.spark, path, zones, ranges)
+    return out.select("o_orderkey", "account_id", F.col("day").cast("string"), "o_orderstatus")
+
+
+@query("layout_compact", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def layout_compact(t):
+    """A table of many small files, packed into few."""
+    path = scratch_path(t.spark, "compact")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    rows.repartition(12, "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
+    layout.compact(t.spark, path, target_bytes=64 << 20)
+    return read_source(t.spark, path).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query("write_published", "SELECT 1 AS version, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 2, count(*) FROM orders")
+def write_published(t):
+    """Two versions of a table behind a pointer, each still readable by its number."""
+    path = scratch_path(t.spark, "published")
+    for rows in (t.orders.filter("o_orderstatus = 'F'"), t.orders):
+        publish(rows, path)
+    one = lambda v: read_published(t.spark, path, v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n"))
+    return one(1).unionByName(one(2))
+
+
+@query(
+    "seq_claim",
+    """SELECT o_orderkey, 'TXN-' || (row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY o_orderkey)
+       + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 500 * (SELECT (count(*) + 499) // 500 FROM orders WHERE o_orderstatus = 'F') END) AS transaction_id FROM orders""",
+)
+def seq_claim(t):
+    """Two loads that draw from one sequence."""
+    folder = scratch_path(t.spark, "claims")
+    parts = [t.orders.filter(f"o_orderstatus {sign} 'F'").select("o_orderkey") for sign in ("=", "<>")]
+    return reduce(DataFrame.unionByName, [ld.claim_ids(p, folder, "o_orderkey", block=500) for p in parts])
+
+
 @query(
     "layout_advice",
     " UNION ALL ".join(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bankops.operators.relational import union_rows
 from bankops.plans.registry import query
 from bankops.session import scratch_path
 from bankops.sources.files import read_source, write_sink
-from bankops.sources.tables import create_table, id_range, inline_rows, query_view, read_table, write_table
+from bankops.sources.tables import create_table, id_range, inline_rows, query_view, read_table, truncate_table, write_table
 
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -106,6 +107,30 @@ def mode_append(t):
     return read_source(t.spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("mode_refused", "SELECT count(*) AS n, true AS refused FROM customer")
+def mode_refused(t):
+    """Without a mode a second write to the path is refused, and the first one's rows stay."""
+    path = scratch_path(t.spark, "refused")
+    write_sink(t.customer, path)
+    try:
+        write_sink(t.orders, path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return read_source(t.spark, path).agg(F.count(F.lit(1)).alias("n")).withColumn("refused", F.lit(refused))
+
+
+@query("table_truncate", "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after FROM supplier")
+def table_truncate(t):
+    name = _name("truncated")
+    write_table(t.supplier, name)
+    before = read_table(t.spark, name).count()
+    truncate_table(t.spark, name)
+    after = read_table(t.spark, name).count()
+    t.spark.sql(f"DROP TABLE {name}")
+    return inline_rows(t.spark, [(before, after)], "before long, after long")
+
+
 @query(
     "src_inline",
     """WITH p(o_orderpriority, days) AS (VALUES ('1-URGENT', 1), ('2-HIGH', 3), ('3-MEDIUM', 7))
