@@ -107,9 +107,12 @@ def test_range_sums_equal_the_sliding_window(ledger):
         same(skew.over_range(ledger, ["key"], "sec", 7200, aggs, "id", after=3600, hot_rows=hot), want)
 
 
-def test_floating_sums_are_refused(ledger):
-    with pytest.raises(ValueError):
-        skew.over_range(ledger, ["key"], "sec", 10, {"s": ("sum", F.col("amount").cast("double"))}, "id")
+@pytest.mark.parametrize("hot", [None, HOT])
+def test_floating_sums_equal_the_sums_of_decimals(ledger, hot):
+    """Amounts of two digits as doubles: their exact sums, rounded to two digits, are those of the decimals."""
+    aggs = {"s": ("sum", F.col("amount").cast("double")), "d": ("sum", F.col("amount"))}
+    out = skew.over_range(ledger, ["key"], "sec", 7200, aggs, "id", hot_rows=hot)
+    assert out.where(~F.round("s", 2).eqNullSafe(F.col("d").cast("double"))).isEmpty()
 
 
 @pytest.mark.parametrize("kind", ["row_number", "rank", "dense_rank"])
