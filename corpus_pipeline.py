@@ -42,8 +42,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = jaccard.jaccard_components(docs)
     first = named.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     known = _with_row(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text").join(first, "doc_id", "left_semi")
-    known = known.select("row", F.struct("doc_id", F.xxhash64("text")).alias("key"), F.xxhash64("row").alias("order"))
-    kept = known.groupBy("key").agg(F.min_by("row", "order").alias("row")).select("row.*")
+    known = known.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64("row").alias("order"))
+    # rows of one id are together already
+    kept = known.groupBy("doc_id", "text_hash").agg(F.min_by("row", "order").alias("row")).select("row.*")
     return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
