@@ -212,7 +212,9 @@ def scan(docs: DataFrame, keep: dict[str, str], text_col: str = "text") -> DataF
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
-    ``score`` is the confidence of the best detection kept. A null id is kept; repeated rows are scanned each.
+    ``score`` is the confidence of the best detection kept; of detections at one place the longest counts, then the one of the better
+    priority. A null text is an empty one without places; a null id is kept; repeated rows are scanned each, and alike. Long texts are
+    scanned whole. Other columns are not read, whatever their names. An empty table gives no rows.
     """
     rows = scan(docs, {"doc_id": id_col}, text_col)
     starts = F.transform("base", lambda x: x["start"].cast("long"))
