@@ -11,19 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankops.ml.synth import uniform
-from bankops.operators.skew import running
 from bankops.session import stored
 
 INTERCEPT = "(intercept)"
 STEPS, TOLERANCE = 40, 1e-9
+# rows whose scores a task sorts at once, evenly spaced scores it gives of them, and scores that are counted together
+FLUSH_ROWS, SPACED, PART_ROWS = 250_000, 256, 250_000
 # The penalties and mixes tried.
 GRID = {"regParam": [0.01, 0.1, 0.5], "elasticNetParam": [0.0, 0.5, 1.0]}
 
@@ -184,11 +186,24 @@ def fit_logistic_grid(
     A setting is (penalty, share of the absolute part) on features in units of their sample deviation over the model's own rows;
     the intercept is free. Rows with a null feature or label are left out. The loss is the mean; steps that do not lower it are halved.
     """
-    held = list(range(folds)) or [-1]
-    cols = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(features)]
-    rows = df.select(*cols, F.col(label).cast("double").alias("_y"), (F.col(fold) if fold else F.lit(-2)).cast("int").alias("_fold")).dropna()
-    rows = stored(rows)  # read once for each step
+    rows = _fit_rows(df, features, label, F.col(fold) if fold else F.lit(-2))
     own = moments(rows, [f"_{i}" for i in range(len(features))], digits, "_fold")
+    return _fit(rows, own, features, settings, list(range(folds)) or [-1])
+
+
+def _fit_rows(df: DataFrame, features: Sequence[str], label: str, fold: Column) -> DataFrame:
+    """``_0``, ``_1`` ... (features), ``_y`` and ``_fold`` of the rows without a null; stored, as each step reads them.
+
+    Nulls are looked for in the stored rows: a filter on derived columns would work them out twice, and without sharing their parts.
+    """
+    cols = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(features)]
+    return stored(df.select(*cols, F.col(label).cast("double").alias("_y"), fold.cast("int").alias("_fold"))).dropna()
+
+
+def _fit(
+    rows: DataFrame, own: Mapping[int, Moments], features: Sequence[str], settings: Sequence[tuple[float, float]], held: Sequence[int]
+) -> dict[tuple[int, int], Model]:
+    """The models of ``fit_logistic_grid`` from ``_fit_rows`` and their moments by fold; held-out fold -1 holds out none."""
     every = sum(list(own.values())[1:], next(iter(own.values())))
     centre, scale = every.mean(), np.sqrt(np.diag(every.covariance(True)))
     scale[scale == 0] = 1.0
@@ -248,6 +263,107 @@ def predict_logistic(model: Model, df: DataFrame, threshold: float = 0.5) -> Dat
     return df.withColumn("probability", p).withColumn("prediction", (F.col("probability") > threshold).cast("double"))
 
 
+def _score_tasks(models: Mapping[tuple[int, int], Model], bounds: Mapping[int, np.ndarray] | None = None):
+    """What a task gives for its rows' scores by each model that did not see their fold; ``_cell`` is the model's place.
+
+    Without bounds: evenly spaced scores and how many each stands for. With them: of each part between bounds its distinct scores and their
+    counts of positives and negatives, packed.
+    """
+    plain = [(f, float(m.intercept), [float(c) for c in m.coefficients]) for (_, f), m in models.items()]
+    most, spaced = FLUSH_ROWS, SPACED
+
+    def scored(batches: Iterator[pa.RecordBatch]):
+        """(cell, scores, whether positive) of some ten thousand rows at once."""
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= most:
+                yield from cells(held)
+                held, n = [], 0
+        if n:
+            yield from cells(held)
+
+    def cells(held: list[pa.RecordBatch]):
+        *x, y, fold = (c.to_numpy() for c in pa.Table.from_batches(held).columns)
+        of = {f: np.flatnonzero(fold == f) for f in {f for f, _, _ in plain}}
+        for cell, (f, intercept, slopes) in enumerate(plain):
+            at = of[f]
+            if not len(at):
+                continue
+            z = np.full(len(at), intercept)
+            for c, slope in zip(x, slopes):
+                z = z + c[at] * slope
+            # noise of the last bits must not order rows that tie
+            yield cell, np.round(z, 9) + 0.0, y[at] == 1
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, z, _ in scored(batches):
+            edges = np.linspace(0, len(z), min(spaced, len(z)) + 1).astype(np.int64)
+            out = [np.full(len(edges) - 1, cell, np.int32), np.sort(z)[edges[:-1]], np.diff(edges)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["_cell", "_score", "_rows"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, z, hit in scored(batches):
+            score, place = np.unique(z, return_inverse=True)
+            pos = np.bincount(place[hit], minlength=len(score))
+            neg = np.bincount(place[~hit], minlength=len(score))
+            part = np.searchsorted(bounds[cell], score, side="right")
+            starts = np.flatnonzero(np.diff(part, prepend=-1))
+            ends = np.append(starts[1:], len(score))
+            packed = [pa.array([c[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()) for c in (score, pos.astype(np.int32), neg.astype(np.int32))]
+            cols = [pa.array(np.full(len(starts), cell, np.int32)), pa.array(part[starts].astype(np.int32)), *packed]
+            yield pa.RecordBatch.from_arrays(cols, ["_cell", "_part", "_score", "_pos", "_neg"])
+
+    return spread if bounds is None else parts
+
+
+def _part_task():
+    """Positives, negatives and twice the pairs in the right order (ties counting one) of one part of one model's scores."""
+
+    def count(table: pa.Table) -> pa.Table:
+        score, pos, neg = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("_score", np.float64), ("_pos", np.int32), ("_neg", np.int32)))
+        at, place = np.unique(score, return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        first = np.searchsorted(place[order], np.arange(len(at)))
+        pos, neg = (np.add.reduceat(c[order].astype(np.int64), first) for c in (pos, neg))
+        times = 2 * np.cumsum(neg) - neg
+        # whole numbers beyond 64 bits are added as such
+        won = int(pos @ times) if int(pos.sum()) * 2 * int(neg.sum()) < 2**63 else sum(int(p) * int(t) for p, t in zip(pos, times))
+        row = [pa.array([table[c][0].as_py()], pa.int32()) for c in ("_cell", "_part")]
+        row += [pa.array([int(pos.sum())], pa.int64()), pa.array([int(neg.sum())], pa.int64()), pa.array([Decimal(won)], pa.decimal128(38, 0))]
+        return pa.Table.from_arrays(row, ["_cell", "_part", "_pos", "_neg", "_won"])
+
+    return count
+
+
+def held_out_areas(rows: DataFrame, models: Mapping[tuple[int, int], Model]) -> DataFrame:
+    """_setting, _fold, auc: the area of each model under the ROC curve of the fold it did not see, exact, ties counting as half.
+
+    Scores are cut into parts of about ``PART_ROWS`` by bounds from evenly spaced scores of all rows. Tasks count equal scores first and send each
+    part's as packed numbers, so rows of all models cross one shuffle without becoming rows of a table; a part is counted by itself, and
+    the negatives of the parts below it are added.
+    """
+    spaced = rows.mapInArrow(_score_tasks(models), "_cell int, _score double, _rows long").groupBy("_cell", "_score").agg(F.sum("_rows").alias("_rows"))
+    upto = F.sum("_rows").over(Window.partitionBy("_cell").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1))
+    part = F.floor(F.coalesce(upto, F.lit(0)) / PART_ROWS)
+    cuts = spaced.select("_cell", "_score", part.alias("_part")).groupBy("_cell", "_part").agg(F.min("_score").alias("_score"))
+    found: dict[int, list[float]] = {c: [] for c in range(len(models))}
+    for r in cuts.where("_part > 0").collect():  # a number for each PART_ROWS scores
+        found[r["_cell"]].append(r["_score"])
+    bounds = {c: np.sort(np.array(v, float)) for c, v in found.items()}
+    parts = rows.mapInArrow(_score_tasks(models, bounds), "_cell int, _part int, _score binary, _pos binary, _neg binary")
+    counted = parts.groupBy("_cell", "_part").applyInArrow(
+        _part_task(), "_cell int, _part int, _pos long, _neg long, _won decimal(38,0)"
+    )
+    below = F.sum("_neg").over(Window.partitionBy("_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    won = F.col("_won") + F.col("_pos").cast("decimal(38,0)") * (F.coalesce(below, F.lit(0)) * 2)
+    area = F.try_divide(F.sum("_all").cast("double"), F.sum("_pos").cast("double") * F.sum("_neg").cast("double") * 2.0)
+    areas = counted.select("_cell", "_pos", "_neg", won.alias("_all")).groupBy("_cell").agg(area.alias("auc"))
+    names = rows.sparkSession.createDataFrame([(c, s, f) for c, (s, f) in enumerate(models)], "_cell int, _setting int, _fold int")
+    return areas.join(F.broadcast(names), "_cell").select("_setting", "_fold", "auc")
+
+
 def cross_validate(
     df: DataFrame, features: Sequence[str], label: str, key: str, grid: Mapping[str, Sequence[float]] = GRID, folds: int = 3, stream: int = 0, digits: int = 6
 ) -> tuple[DataFrame, Model]:
@@ -256,30 +372,15 @@ def cross_validate(
     A row's fold is drawn from its whole-number ``key``. Among equal settings the first is best. AUCs count ties as half.
     """
     settings = [(r, e) for r in grid["regParam"] for e in grid["elasticNetParam"]]
-    fold = F.floor(uniform(F.col(key), stream) * folds).cast("int").alias("_fold")
-    rows = stored(df.dropna(subset=[*features, label]).select(*features, label, fold))
-    models = fit_logistic_grid(rows, features, label, settings, "_fold", folds, digits)
-
-    def margin(s: int) -> Column:
-        """The score of a row by the model that did not see its fold."""
-        out = F.lit(None).cast("double")
-        for f in range(folds):
-            out = F.when(F.col("_fold") == f, models[s, f].margin()).otherwise(out)
-        # noise of the last bits must not order rows that tie
-        return F.round(out, 9)
-
-    scored = rows.select("_fold", F.col(label).alias("_label"), F.posexplode(F.array(*[margin(s) for s in range(len(settings))])).alias("_setting", "_score"))
-    by_score = scored.groupBy("_setting", "_fold", "_score").agg(
-        F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") != 1).alias("_neg")
-    )
-    ranked = running(by_score, ["_setting", "_fold"], [F.col("_score")], {"_below": ("sum", F.col("_neg"))})
-    won = F.sum(F.col("_pos").cast("decimal(38,0)") * (F.col("_below") * 2 - F.col("_neg"))).cast("double")
-    area = F.try_divide(won, F.sum("_pos").cast("double") * F.sum("_neg").cast("double") * 2.0)
-    found = ranked.groupBy("_setting", "_fold").agg(area.alias("auc")).collect()  # settings times folds
+    fold = F.coalesce(F.floor(uniform(F.col(key), stream) * folds).cast("int"), F.lit(-2))  # a row without key is never held out
+    rows = _fit_rows(df, features, label, fold)
+    own = moments(rows, [f"_{i}" for i in range(len(features))], digits, "_fold")
+    models = _fit(rows, own, features, settings, list(range(folds)))
+    found = held_out_areas(rows, models).collect()  # settings times folds
     mean = [float(np.mean([r["auc"] for r in sorted(found) if r["_setting"] == s])) for s in range(len(settings))]
     best = int(np.argmax(np.round(mean, 12)))
     table = df.sparkSession.createDataFrame(
         [(float(e), float(r), a, i == best) for i, ((r, e), a) in enumerate(zip(settings, mean))],
         "elasticNetParam double, regParam double, auc double, best boolean",
     )
-    return table, fit_logistic(rows, features, label, *settings[best], digits=digits)
+    return table, _fit(rows, own, features, [settings[best]], [-1])[0, -1]

@@ -8,6 +8,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -518,3 +519,36 @@ def test_upsert_touches_any_number_of_partitions(spark, tmp_path):
     got = {r.id: (r.p, r.v) for r in spark.read.schema("id long, v int, p string").parquet(path).collect()}
     assert len(got) == 60 and got[0] == ("new", 1) and got[2] == (None, 1) and got[3] == ("3", 0) and got[34] == (None, 1)
     assert not path_exists(spark, f"{path}/p=2") and path_exists(spark, f"{path}/p=3")
+
+
+@pytest.mark.parametrize("part", [40, 1_000_000])
+def test_areas_of_held_out_folds_are_exact_in_any_parts(spark, monkeypatch, part):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=600), 1)  # many ties
+    rows = [(float(v), int(rng.random() < 1 / (1 + np.exp(-v))), i if i % 50 else None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, y int, k long").repartition(3)
+    monkeypatch.setattr(regression, "PART_ROWS", part)
+    monkeypatch.setattr(regression, "FLUSH_ROWS", 70)
+    # a row without a key is never held out; it raised before
+    table, _ = regression.cross_validate(df, ["x"], "y", "k", {"regParam": [0.01, 9.0], "elasticNetParam": [1.0]})
+    got = {r.regParam: r.auc for r in table.collect()}
+    fold = F.floor(uniform(F.col("k"), 0) * 3).cast("int")
+    parts = df.where("k IS NOT NULL").select("x", "y", fold.alias("f")).toPandas()
+    areas = []
+    for _, g in parts.groupby("f"):
+        pos, neg = g.x[g.y == 1].to_numpy(), g.x[g.y == 0].to_numpy()
+        areas.append(((pos[:, None] > neg).mean() + (pos[:, None] == neg).mean() / 2))
+    assert got[0.01] == pytest.approx(np.mean(areas), abs=1e-12) and got[9.0] == 0.5
+
+
+def test_counts_of_a_part_beyond_64_bits(spark):
+    n = 2**31 - 1
+    packed = [np.array([v] * 3, t).tobytes() for v, t in ((1.5, np.float64), (n, np.int32), (n, np.int32))]
+    row = pa.table({"_cell": [0], "_part": [0], **dict(zip(("_score", "_pos", "_neg"), ([b] for b in packed)))})
+    assert regression._part_task()(row)["_won"][0].as_py() == (3 * n) ** 2
+
+
+def test_nulls_are_dropped_from_stored_rows(spark):
+    df = spark.createDataFrame([(float(i % 7), None if i == 3 else i % 2) for i in range(40)] + [(None, 1)], "x double, y int")
+    plain = regression.fit_logistic(df.dropna(), ["x"], "y")
+    assert regression.fit_logistic(df, ["x"], "y").coefficients == pytest.approx(plain.coefficients, abs=1e-12)
