@@ -66,14 +66,20 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _reject_keys(df: DataFrame, listed: DataFrame, key: str, reason: str) -> DataFrame:
+    """Reject passing rows whose key is listed. Only passing rows with a key are looked up: a feed without keys must not meet in the one
+    task of the null key.
+    """
     marks = listed.select(F.col(key).alias("_seen_key"), F.lit(True).alias("_seen"))
-    joined = df.join(marks, df[key] == marks["_seen_key"], "left")
-    hit = F.col("_seen") & (F.col("validation_status") == PASS)
-    return joined.select(
-        *[c for c in df.columns if c not in ("validation_status", "error_reason")],
-        F.when(hit, reason).otherwise(F.col("error_reason")).alias("error_reason"),
-        F.when(hit, REJECT).otherwise(F.col("validation_status")).alias("validation_status"),
+    passing = F.col("validation_status").eqNullSafe(PASS) & F.col(key).isNotNull()
+    sought, rest = df.filter(passing), df.filter(~passing)
+    joined = sought.join(marks, sought[key] == marks["_seen_key"], "left")
+    kept = [c for c in df.columns if c not in ("validation_status", "error_reason")]
+    found = joined.select(
+        *kept,
+        F.when(F.col("_seen"), reason).otherwise(F.col("error_reason")).alias("error_reason"),
+        F.when(F.col("_seen"), REJECT).otherwise(F.col("validation_status")).alias("validation_status"),
     )
+    return found.unionByName(rest)
 
 
 def mark_existing(df: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The strict load, file modes, feature tables and layout, on real folders."""
 
+import collections
 import datetime as dt
 import glob
 
@@ -253,3 +254,27 @@ def test_upsert_with_spaces_rewrites_only_touched_partitions(spark, tmp_path):
     assert sorted(f.name for f in (path / "p=c d").iterdir() if f.name.endswith(".parquet")) == before
     assert not (path / "p=a b").exists()
     assert sorted(tuple(r) for r in spark.read.parquet(str(path)).select("id", "p", "v").collect()) == [(1, "e f", 11), (2, "c d", 20)]
+
+
+def test_rows_without_a_key_do_not_meet_in_one_task(spark):
+    """A third of a feed has no key, or is refused already: none of these rows is looked up, and all stay."""
+    feed = spark.range(0, 9000, 1, 6).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("T"), "id")).alias("transaction_id"), F.when(F.col("id") % 5 > 0, 1.0).alias("amount"), "id"
+    )
+    target = feed.where("id % 2 = 0").select("transaction_id").where("transaction_id IS NOT NULL")
+    rules = ld.standard_rules("amount", "transaction_id")
+    held = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(held, ("false", "-1")):
+            spark.conf.set(c, v)
+        checked = ld.check_batch(feed, target, "transaction_id", rules, ["transaction_id", "amount"])
+        rows = checked.select("*", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+    tasks = collections.Counter(r.task for r in rows if r.transaction_id is None)
+    assert max(tasks.values()) <= 500 and sum(tasks.values()) == 3000 and sorted(r.id for r in rows) == list(range(9000))
+    for r in rows:
+        known = ld.DUPLICATE if r.id % 2 == 0 else None
+        reason = ld.INVALID_AMOUNT if r.id % 5 == 0 else ld.MISSING_KEY if r.id % 3 == 0 else known
+        assert r.error_reason == reason and (r.validation_status == ld.PASS) == (reason is None)
