@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,21 +18,33 @@ from bankops.sources.files import _filesystem, path_exists, remove_path
 
 def make_exclusive(spark: SparkSession, path: str) -> bool:
     """Make an empty file; False if it is there already. Of several callers exactly one gets True."""
-    fs, p = _filesystem(spark, path)
-    fs.mkdirs(p.getParent())
+    folder, _, name = path.rpartition("/")
+    return exclusive_maker(spark, folder)(name)
+
+
+def exclusive_maker(spark: SparkSession, folder: str) -> Callable[[str], bool]:
+    """``make_exclusive`` for many names in one folder, which is looked up and made once."""
+    fs, at = _filesystem(spark, folder)
+    fs.mkdirs(at)
     if fs.getUri().getScheme() == "file":  # the local file system of Hadoop looks first and makes it then
         array, java = spark.sparkContext._gateway.new_array, spark._jvm.java
-        local = java.nio.file.Paths.get(p.toUri().getPath(), array(java.lang.String, 0))
-        make = lambda: java.nio.file.Files.createFile(local, array(java.nio.file.attribute.FileAttribute, 0))
+        files, local = java.nio.file.Files, java.nio.file.Paths.get(at.toUri().getPath(), array(java.lang.String, 0))
+        plain = array(java.nio.file.attribute.FileAttribute, 0)
+        create = lambda name: files.createFile(local.resolve(name), plain)
     else:
-        make = lambda: fs.create(p, False).close()
-    try:
-        make()
-    except Exception as e:
-        if "AlreadyExists" in str(e):
-            return False
-        raise
-    return True
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        create = lambda name: fs.create(path(f"{folder}/{name}"), False).close()
+
+    def make(name: str) -> bool:
+        try:
+            create(name)
+        except Exception as e:
+            if "AlreadyExists" in str(e):
+                return False
+            raise
+        return True
+
+    return make
 
 
 def names_in(spark: SparkSession, folder: str) -> list[str]:
@@ -143,8 +156,9 @@ def claim_blocks(spark: SparkSession, folder: str, rows: int, block: int = 1_000
     """
     taken = [int(n.split("-")[1]) for n in names_in(spark, folder) if n.startswith("block-")]
     at, out = max(taken, default=-1) + 1, []
+    make = exclusive_maker(spark, folder.rstrip("/"))
     while len(out) * block < rows:
-        if make_exclusive(spark, f"{folder.rstrip('/')}/block-{at:012d}"):
+        if make(f"block-{at:012d}"):
             out.append(at)
         at += 1
     return out

@@ -552,3 +552,13 @@ def test_nulls_are_dropped_from_stored_rows(spark):
     df = spark.createDataFrame([(float(i % 7), None if i == 3 else i % 2) for i in range(40)] + [(None, 1)], "x double, y int")
     plain = regression.fit_logistic(df.dropna(), ["x"], "y")
     assert regression.fit_logistic(df, ["x"], "y").coefficients == pytest.approx(plain.coefficients, abs=1e-12)
+
+
+def test_a_folder_of_claims_is_looked_up_once(spark, tmp_path, monkeypatch):
+    """Not once for each block: a load of many ids waited for that longer than for its rows."""
+    calls, real = [], journal._filesystem
+    monkeypatch.setattr(journal, "_filesystem", lambda *a: calls.append(a) or real(*a))
+    folder = str(tmp_path / "seq")
+    assert journal.claim_blocks(spark, folder, 300, 10) == list(range(30)) and len(calls) <= 3
+    assert journal.claim_blocks(spark, folder, 11, 10) == [30, 31] and journal.claimed_blocks(spark, folder) == list(range(32))
+    assert journal.make_exclusive(spark, f"{folder}/one") and not journal.make_exclusive(spark, f"{folder}/one")
