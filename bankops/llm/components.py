@@ -42,8 +42,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of the two-column long edge table is connected with.
 
     A task holds its share of the edges. Rows (node, smallest known) go to the task of the node, so that a node of very many
-    edges, once its edges are contracted, has at most one row from each task. Each round is written to the shared folder.
-    An empty table gives no rows; self-edges and repeated edges are allowed; rows with a null end are left out.
+    edges, once its edges are contracted, has at most one row from each task. Then each node that is the smallest known of others,
+    but knows a smaller one itself, gives way to that on all their rows, wherever these are. Each round is written to the shared
+    folder; when nothing changes, a node has one row, and its component only itself. An empty table gives no rows; self-edges and
+    repeated edges are allowed; rows with a null end are left out.
     """
     a, b = edges.columns
     rows = edges.select(F.col(a).alias("node"), F.col(b).alias("component")).dropna()
@@ -55,6 +57,8 @@ def components(edges: DataFrame) -> DataFrame:
         if digest == seen:
             return rows.distinct()
         seen = digest
+        smaller = rows.where("component < node").groupBy(F.col("node").alias("component")).agg(F.min("component").alias("smaller"))
+        rows = rows.join(smaller, "component", "left").select("node", F.coalesce("smaller", "component").alias("component"))
 
 
 def id_edges(rows: DataFrame, id_col: str, node_col: str) -> DataFrame:

@@ -2,17 +2,20 @@
 
 The product of the document by n-gram matrix with its transpose gives the overlaps. It is made in blocks of n-grams, on the
 part of each row that can decide: with all n-grams in one order, a document of n distinct ones need only show its first
-n - ceil(t n) + 1, because any partner shares one of these. N-grams known to be frequent come last in the order, so passages
-that many documents share are shown only by documents made of little else.
-
-1. One pass finds frequent n-grams (some number of times in one batch), whose order does not depend on how often they occur
-   elsewhere; results do not depend on this list, only cost does.
+n - ceil(t n) + 1, because any partner shares one of these. N-grams known to be frequent come last in the order, the most
+frequent ones at the end, so passages that many documents share are shown only by documents made of little else. The others are
+ordered by how rare their words are: n-grams of common words repeat by chance, the more often the larger the table, and would
+make pairs of strangers whose number grows with its square.
+
+1. One pass finds common words. A second one counts over the whole table how many rows have an n-gram in the first half of
+   their own order, 32 bits of hash and a block for each, and lists the frequent ones. An n-gram in a passage that is spread thinly
+   over a large table is found like any other. Results do not depend on these lists, only cost does.
 2. One pass makes the sets. Documents with equal sets are one class. The n-grams shown go, packed, to blocks by hash.
 3. Each block counts, for pairs of classes, the n-grams shown by both. An n-gram shown by very many classes gives no pairs
    but ties its classes to the smallest one.
 4. The counts of a pair are added up over the blocks. A pair is discarded when its count and all it could still share beyond
-   what both show stay below the overlap its sizes demand. Each document says how many of its n-grams come before some
-   places of the order, so what is left beyond such a place is known for both.
+   what both show stay below the overlap its sizes demand. Each document says where in the order the last one it shows is, and
+   some before, so what is left beyond the place up to which both show all is known for the one and bounded for the other.
 5. What is left falls into groups. The whole sets of a group meet in a task, and overlaps are counted by products of
    blocks of the matrix, exactly. Groups beyond a block are compared with some of their members first; after that only classes
    outside the largest component are compared with the rest, block by block, so a large group of copies costs its size. Blocks
@@ -40,23 +43,36 @@ from bankops.session import stored
 
 WORDS = 5
 PERCENT = 75
-SEEN_OFTEN = 2  # times in one batch that make an n-gram a candidate for the list of frequent ones
-FREQUENT = 16  # times over all batches that put it on the list
-MOST_FREQUENT = 500_000  # longest list (4 MB); shorter lists cost time, not results
+FREQUENT = 16  # rows beyond which an n-gram is frequent
+STEP = 4  # times the rows from one level of frequent ones to the next
+MOST_FREQUENT = 1_000_000  # longest list (12 MB); shorter lists cost time, not results
+COUNT_BYTES = 32 << 20  # of text whose n-grams are counted in one block, on average
 MOST_SHOWN_BY = 32  # classes; an n-gram shown by more gives ties to one class, not pairs
 BLOCK_ROWS = 256
-# parts of the order, in 64ths, up to which each document says how many n-grams it has
-GRID = [*range(1, 25), *range(28, 65, 4)]
+WORD_BITS = 16  # a word is common if it is more than one of 2^16; its bits are the logarithm of its share
+LEVELS = 12  # of 16, of n-grams by the bits of their words, rare ones first; the levels of frequent ones come after these
+LEVEL_BITS = 6  # of words, from one level to the next
+TIED = LEVELS + 1  # the level from which on an n-gram gives ties within a batch
+MARKS = 8  # equal parts of what a document shows, of which it says where they end
 BLOCK_BYTES = 4 << 20  # of text whose n-grams go to one block, on average
 COLUMNS = 4096
+HASH = U((1 << 60) - 1)
 
 
-def ngrams(data: np.ndarray, offs: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """60-bit hashes of the n-grams of each row and their rows; a row with fewer words has its whole sequence as one."""
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all rows in order, and their rows."""
     body = LOWERED[data]
     starts, ends = runs(~SPACE[body[:-8]], offs)
-    row = rows_of(starts, offs)
-    h = hash_runs(body, starts, ends)
+    return hash_runs(body, starts, ends), rows_of(starts, offs)
+
+
+def ngrams(
+    h: np.ndarray, row: np.ndarray, offs: np.ndarray, words: int = WORDS, common: HashTable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """60-bit hashes of the n-grams of each row and their rows; a row with fewer words has its whole sequence as one.
+
+    With the bits of common words, the bits from 60 on are the level of the n-gram, 0 for the rarest words.
+    """
     grams, at = window_hashes(h, row, words)
     owner = row[at]
     count = np.bincount(row, minlength=len(offs) - 1)
@@ -68,13 +84,28 @@ def ngrams(data: np.ndarray, offs: np.ndarray, words: int = WORDS) -> tuple[np.n
             has = count[short] > k
             whole[has] = mixed(whole[has] + h[first[has] + k] * U(2 * k + 1))
         grams, owner = np.append(grams, mixed(whole + count[short].astype(U))), np.append(owner, short)
-    return grams >> U(4), owner
+    grams >>= U(4)
+    if common is not None and len(grams):
+        known = common.find(h)
+        bits = np.append(0, np.cumsum(np.where(known < 0, WORD_BITS, known)))
+        first_word = np.append(at, first) if len(short) else at
+        held = np.append(np.full(len(at), words), count[short]) if len(short) else words
+        level = (WORD_BITS * words - bits[first_word + held] + bits[first_word]) // LEVEL_BITS
+        grams |= np.clip(level, 0, LEVELS - 1).astype(U) << U(60)
+    return grams, owner
 
 
-def distinct_sets(grams: np.ndarray, row: np.ndarray, frequent: HashTable | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes of each row in order, frequent ones last, by row. The bit 60 of a code marks a frequent n-gram."""
+def count_keys(codes: np.ndarray, blocks: int) -> np.ndarray:
+    """The block in which an n-gram is counted, and 32 bits more."""
+    return ((codes & HASH) >> U(32)) % U(blocks) << U(32) | codes & U(0xFFFFFFFF)
+
+
+def distinct_sets(grams: np.ndarray, row: np.ndarray, frequent: tuple[HashTable, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of each row in order, by row. The bits from 60 on are the level; those of frequent n-grams are last."""
     if frequent is not None and len(grams):
-        grams = grams | ((frequent.find(grams) >= 0).astype(U) << U(60))
+        known = frequent[0].find(count_keys(grams, frequent[1]))
+        at = np.flatnonzero(known >= 0)
+        grams[at] = (grams[at] & HASH) | (known[at] + LEVELS).astype(U) << U(60)
     order = np.argsort(grams)
     order = order[np.argsort(row[order].astype(np.uint16 if len(row) and row.max() < 65536 else np.int64), kind="stable")]
     grams, row = grams[order], row[order]
@@ -90,53 +121,96 @@ def set_sums(codes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np
     sums = np.zeros(n, U)
     has = size > 0
     if has.any():
-        sums[has] = np.add.reduceat(mixed((codes & U((1 << 60) - 1)) ^ U(0x5BD1E995)), start[has])
+        sums[has] = np.add.reduceat(mixed((codes & HASH) ^ U(0x5BD1E995)), start[has])
     return size, start, mixed(sums + size.astype(U)).view(np.int64)
 
 
-def _often(words: int):
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [ngrams(data, offs, words)[0] for _, _, data, offs in text_slices(batch.column(0))]
-            if not held:
-                continue
-            h = np.sort(np.concatenate(held))
-            edge = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-            n = np.diff(np.append(edge, len(h)))
-            keep = n >= SEEN_OFTEN
-            out = [pa.array(h[edge[keep]].view(np.int64)), pa.array(n[keep])]
-            yield pa.RecordBatch.from_arrays(out, ["gram", "n"])
+def in_order(codes: np.ndarray) -> np.ndarray:
+    """Codes as signed longs of the same order."""
+    return (codes ^ U(1 << 63)).view(np.int64)
+
 
-    return often
+def _run_lengths(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and how often each is there."""
+    h = np.sort(h)
+    edge = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    return h[edge], np.diff(np.append(edge, len(h)))
 
 
-def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
-    """Rows for documents (set's hash, size, how far all is shown, n-grams before the places of GRID), and packed codes."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with about the share of a common one in a batch and their counts; without a word, the number of all words."""
+    for batch in batches:
+        held = [word_hashes(data, offs)[0] for _, _, data, offs in text_slices(batch.column(0))]
+        if not held:
+            continue
+        h, n = _run_lengths(np.concatenate(held))
+        keep = n > n.sum() >> (WORD_BITS + 1)
+        word = pa.array(np.append(h[keep].view(np.int64), 0), mask=np.append(np.zeros(keep.sum(), bool), True))
+        yield pa.RecordBatch.from_arrays([word, pa.array(np.append(n[keep], n.sum()))], ["word", "n"])
+
+
+def _first_half(words: int, blocks: int, common: tuple[np.ndarray, np.ndarray]):
+    """Of each batch and block, 32 bits of each n-gram in the first half of a row's order."""
+
+    def first_half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = HashTable()
+        known.add(*common)
+        for batch in batches:
+            held = []
+            for lo, hi, data, offs in text_slices(batch.column(0)):
+                codes, row = distinct_sets(*ngrams(*word_hashes(data, offs), offs, words, known))
+                size, start, _ = set_sums(codes, row, hi - lo)
+                held.append(count_keys(codes[2 * (np.arange(len(codes)) - start[row]) <= size[row]], blocks))
+            if held:
+                keys = np.sort(np.concatenate(held))
+                edges = np.searchsorted(keys, np.arange(blocks + 1).astype(U) << U(32))
+                rest = keys.astype(np.uint32)
+                packed = [rest[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(blocks, dtype=np.int32)), pa.array(packed, pa.binary())], ["block", "packed"])
+
+    return first_half
+
+
+def _frequent(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that more rows than that have in their first half, and the number of rows."""
+    held: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            held.setdefault(block, []).append(blob)
+    for block, blobs in held.items():
+        rest, n = _run_lengths(np.frombuffer(b"".join(blobs), np.uint32))
+        keys = rest[n > least].astype(np.int64) | block << 32
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n[n > least])], ["key", "n"])
+
+
+def _shown(words: int, percent: int, blocks: int, listed: tuple[np.ndarray, np.ndarray], count_blocks: int, common: tuple[np.ndarray, np.ndarray]):
+    """Rows for documents (set's hash, size, last place of the order that is shown, ends of parts before it), and packed codes."""
 
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = HashTable()
-        frequent.add(listed, np.arange(len(listed), dtype=np.int32))
-        names = ["block", "doc_id", "text_hash", "a", "n", "shown", "before", "packed"]
+        frequent, known = HashTable(), HashTable()
+        frequent.add(*listed)
+        known.add(*common)
+        names = ["block", "doc_id", "text_hash", "a", "n", "edge", "marks", "packed"]
         for batch in batches:
             codes_held, sums_held, size_held = [], [], []
             for lo, hi, data, offs in text_slices(batch.column(2)):
-                codes, row = distinct_sets(*ngrams(data, offs, words), frequent)
+                codes, row = distinct_sets(*ngrams(*word_hashes(data, offs), offs, words, known), (frequent, count_blocks))
                 size, start, sums = set_sums(codes, row, hi - lo)
                 show = size - -(-percent * size // 100) + 1
                 n = hi - lo
-                part = np.minimum(codes >> U(54), U(64)).astype(np.int64)
-                before = np.cumsum(np.bincount(row * 65 + part, minlength=65 * n).reshape(n, 65), axis=1)
-                before = np.ascontiguousarray(before[:, [g - 1 for g in GRID]].astype(np.int32))
-                last = np.zeros(n, np.int64)
-                last[size > 0] = part[(start + show - 1)[size > 0]]
+                edge, has = np.zeros(n, np.int64), size > 0
+                edge[has] = in_order(codes[(start + show - 1)[has]])
+                ends = show[:, None] * np.arange(1, MARKS) // MARKS
+                marks = np.full((n, MARKS - 1), -(1 << 31))  # where the first parts of short documents are empty
+                marks[ends > 0] = in_order(codes[(start[:, None] + ends - 1)[ends > 0]]) >> 32
                 keep = np.arange(len(codes)) - start[row] < show[row]
                 codes, row = codes[keep], row[keep]
                 out = [
                     pa.array(np.mod(sums, blocks).astype(np.int32)), batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(sums),
                     pa.array(size.astype(np.int32)),
-                    pa.array(last.astype(np.int32)),
+                    pa.array(edge),
                     pa.ListArray.from_arrays(
-                        pa.array(np.arange(n + 1, dtype=np.int32) * len(GRID)), pa.array(before.ravel())
+                        pa.array(np.arange(n + 1, dtype=np.int32) * (MARKS - 1)), pa.array(marks.ravel().astype(np.int32))
                     ),
                     pa.nulls(n, pa.binary()),
                 ]
@@ -154,14 +228,14 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
             codes, sums, sizes = codes[new], sums[new], sizes[new]
             first = np.append(True, codes[1:] != codes[:-1]) if len(codes) else np.zeros(0, bool)
             lead = sums[np.maximum.accumulate(np.where(first, np.arange(len(codes)), 0))]
-            tie = (codes >> U(60) > 0) & ~first
+            tie = (codes >> U(60) >= TIED) & ~first
             pairs = np.unique(np.stack([sums[tie], lead[tie]], axis=1), axis=0)
             codes, sums, sizes = codes[~tie], sums[~tie], sizes[~tie]
             where = (codes % U(blocks)).astype(np.int64)
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(blocks + 1))
             rest = (codes // U(blocks)).astype(np.uint32)[order]  # 32 bits more tell codes of a block apart
-            flag = (codes >> U(60)).astype(np.uint8)[order]
+            flag = (codes >> U(60) >= TIED).astype(np.uint8)[order]
             sums, sizes = sums[order], sizes[order]
             packed = [
                 b"".join(x[i:j].tobytes() for x in (rest, sums, sizes, flag)) for i, j in zip(edges[:-1], edges[1:])
@@ -171,7 +245,7 @@ def _shown(words: int, percent: int, blocks: int, listed: np.ndarray):
             m = blocks + 1
             out = [
                 pa.array(number.astype(np.int32)), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32())), pa.array(packed, pa.binary()),
+                pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32())), pa.array(packed, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(out, names)
 
@@ -210,7 +284,7 @@ def _pairs_of(
 
 def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as they are; of each block the pairs with counts, and ties with count 0."""
-    names = ["kind", "doc_id", "text_hash", "a", "b", "n", "shown", "before"]
+    names = ["kind", "doc_id", "text_hash", "a", "b", "n", "edge", "marks"]
     held: dict[int, list[bytes]] = {}
     kind = None
     for batch in batches:
@@ -218,7 +292,7 @@ def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         is_doc = batch.column("packed").is_null()
         docs = batch.filter(is_doc)
         if docs.num_rows:
-            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("text_hash"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("shown"), docs.column("before")]
+            out = [pa.array(["doc"] * docs.num_rows), docs.column("doc_id"), docs.column("text_hash"), docs.column("a"), pa.nulls(docs.num_rows, pa.int64()), docs.column("n"), docs.column("edge"), docs.column("marks")]
             yield pa.RecordBatch.from_arrays(out, names)
         packed = batch.filter(pa.compute.invert(is_doc))
         for number, blob in zip(packed.column("block").to_pylist(), packed.column("packed").to_pylist()):
@@ -226,7 +300,7 @@ def _count_block(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
     def rows(word: str, pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         m = len(pairs)
-        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int32()))]
+        out = [pa.array([word] * m, pa.string()), pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(out, names)
 
     for number, blobs in held.items():
@@ -283,7 +357,7 @@ def _verify(words: int, percent: int):
         side = table.column("side").to_numpy(zero_copy_only=False)
         codes, row, size = [], [], np.zeros(len(sums), np.int64)
         for lo, hi, data, offs in text_slices(table.column("text")):
-            c, r = distinct_sets(*ngrams(data, offs, words), None)
+            c, r = distinct_sets(*ngrams(*word_hashes(data, offs), offs, words))
             n, _, s = set_sums(c, r, hi - lo)
             n[s != sums[lo:hi]] = -1  # another text under a repeated id
             size[lo:hi] = n
@@ -335,44 +409,54 @@ def jaccard_components(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(max(16, -(-total // BLOCK_BYTES)))
 
-    often = rows.select("text").mapInArrow(_often(words), "gram long, n long")
-    often = often.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT)
-    listed = [r["gram"] for r in often.orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram").collect()]
-    listed = np.array(listed, np.int64).view(U)
+    common = stored(rows.select("text").mapInArrow(_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    every = common.where("word is null").agg(F.sum("n")).first()[0] or 0
+    common = common.where(F.col("word").isNotNull() & (F.col("n") > every >> WORD_BITS)).toArrow()
+    bits = np.log2(every / common.column("n").to_numpy()).astype(np.int32)
+    common = common.column("word").to_numpy().view(U), bits
+
+    count_blocks = int(max(16, -(-total // COUNT_BYTES)))
+    halves = rows.select("text").mapInArrow(_first_half(words, count_blocks, common), "block int, packed binary")
+    often = stored(halves.repartition(count_blocks, "block").mapInArrow(partial(_frequent, FREQUENT), "key long, n long"))
+    often = often.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
+    level = np.searchsorted([FREQUENT * STEP**k for k in range(1, 16 - LEVELS)], often.column("n").to_numpy()).astype(np.int32)
+    listed = often.column("key").to_numpy().view(U), level
 
     packed = T.StructType([
         T.StructField("block", T.IntegerType()), T.StructField("doc_id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("a", T.LongType()),
-        T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
-        T.StructField("before", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType()),
+        T.StructField("n", T.IntegerType()), T.StructField("edge", T.LongType()),
+        T.StructField("marks", T.ArrayType(T.IntegerType())), T.StructField("packed", T.BinaryType()),
     ])
     counted = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("doc_id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("a", T.LongType()),
-        T.StructField("b", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("shown", T.IntegerType()),
-        T.StructField("before", T.ArrayType(T.IntegerType())),
+        T.StructField("b", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("edge", T.LongType()),
+        T.StructField("marks", T.ArrayType(T.IntegerType())),
     ])
-    shown = rows.mapInArrow(_shown(words, percent, blocks, listed), packed)
+    shown = rows.mapInArrow(_shown(words, percent, blocks, listed, count_blocks, common), packed)
     found = stored(shown.repartition(blocks, "block").mapInArrow(partial(_count_block, percent), counted))
 
     sets = found.where("kind = 'doc'").select("doc_id", "a", "n")
     classes = found.where("kind = 'doc' and doc_id is not null and n > 0").groupBy("a")
-    largest = [F.max(c).alias(c) for c in ("n", "shown", "before")]  # equal in a class
+    largest = [F.max(c).alias(c) for c in ("n", "edge", "marks")]  # equal in a class
     # a class takes its text from one row: of the rows of its smallest id, which may have several texts, one of the class
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    classes = stored(classes.agg(first, *largest).select("a", "first.*", "n", "shown", "before").withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"}))
+    classes = stored(classes.agg(first, *largest).select("a", "first.*", "n", "edge", "marks").withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"}))
 
     # discard pairs that cannot reach the overlap their sizes demand
     p = F.lit(percent)
     pairs = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("both"))
-    of = classes.select("a", "n", "shown", "before")
-    pairs = pairs.join(of.withColumnsRenamed({"n": "na", "shown": "sa", "before": "ra"}), "a")
-    pairs = pairs.join(of.withColumnsRenamed({"a": "b", "n": "nb", "shown": "sb", "before": "rb"}), "b")
-    # the last place of the grid up to which both show all they have
-    up_to = F.least("sa", "sb")
-    place = F.size(F.filter(F.array(*map(F.lit, GRID)), lambda g: g <= up_to))
-    after = lambda n, r: F.col(n) - F.when(place > 0, F.get(r, place - 1)).otherwise(0)
+    of = classes.select("a", "n", "edge", "marks")
+    pairs = pairs.join(of.withColumnsRenamed({"n": "na", "edge": "ea", "marks": "ma"}), "a")
+    pairs = pairs.join(of.withColumnsRenamed({"a": "b", "n": "nb", "edge": "eb", "marks": "mb"}), "b")
+    # both show all up to the earlier edge; of the other set the parts that end before it are shown
+    up_to = F.least("ea", "eb")
+    high = F.shiftright(up_to, 32).cast("int")
+    show = lambda n: F.col(n) - F.ceil(F.col(n) * p / 100) + 1
+    parts = lambda m: F.size(F.filter(m, lambda x: x < high))
+    after = lambda n, e, m: F.col(n) - F.when(F.col(e) == up_to, show(n)).otherwise(F.floor(show(n) * parts(m) / MARKS))
     pairs = pairs.where(
         (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p)
-        & ((F.col("both") + F.least(after("na", "ra"), after("nb", "rb"))) * (100 + p) >= (F.col("na") + F.col("nb")) * p)
+        & ((F.col("both") + F.least(after("na", "ea", "ma"), after("nb", "eb", "mb"))) * (100 + p) >= (F.col("na") + F.col("nb")) * p)
     )
     ties = found.where("kind = 'tie'").select("a", "b")
     groups = components(pairs.select("a", "b").union(ties))

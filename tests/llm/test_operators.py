@@ -146,6 +146,52 @@ def test_jaccard_large_groups(spark, monkeypatch):
     assert all(got[k] == 0 for k in range(150)) and all(got[k] == k for k in range(1000, 1100))
 
 
+def test_components_over_many_tasks(spark):
+    """Nodes and their smallest ones in different tasks: what joins two components reaches all nodes of both."""
+    from bankops.llm.components import components
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        # stars around their middle nodes, chained by their last members, in no order; a node alone
+        edges = [(100 * s + 50, 100 * s + k) for s in range(1, 30) for k in range(40, 60)] + [(100 * s + 59, 100 * s + 159) for s in range(1, 29) if s % 10]
+        rows = spark.createDataFrame([*edges, (7, 7), (None, 3)], "a long, b long").repartition(11)
+        got = sorted(map(tuple, components(rows).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(7, 7)] + [(100 * s + k, 100 * (1 if s <= 10 else 11 if s <= 20 else 21) + 40) for s in range(1, 30) for k in range(40, 60)]
+    assert got == sorted(want)
+
+
+def test_jaccard_shared_passages(spark, monkeypatch):
+    """A passage that many strangers share, in one row of any batch, and n-grams of common words: no pairs, no large group."""
+    import random
+
+    rng = random.Random(5)
+    names = iter(range(10**6))
+    fresh = lambda n: [f"w{next(names)}" for _ in range(n)]
+    passages = [fresh(12) for _ in range(6)]
+    # strangers with two passages each, so that these connect them all, and a run of common words
+    rows = [(k, " ".join(fresh(20) + passages[k % 6] + fresh(20) + "of the to and in a is it".split() + passages[(k + 1) % 6])) for k in range(300)]
+    rows += [(1000 + k, rows[k][1] + " end") for k in range(20)]
+    rng.shuffle(rows)
+    made = []
+    components = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda edges: made.append(edges.count()) or components(edges))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == {i: i % 1000 for i in got} and len(got) == 320
+    assert made[0] == 20
+
+
 def test_quality(docs, texts):
     want = collections.Counter()
     for i, t in texts:
