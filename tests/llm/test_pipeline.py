@@ -144,6 +144,27 @@ def test_drop_copies(spark, rows, frame):
     same(again, got)  # which row of equal ids and texts stays does not depend on partitions
 
 
+def test_drop_copies_chains_over_many_tasks(spark):
+    """Long chains of near copies whose links lie in many tasks: one document of each stays, with all its columns."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(4000)]
+    # neighbours share 50 of 62 n-grams, so 100 x 50 / 62 = 80; the next but one share 44 of 68
+    rows = [(s, " ".join(words[400 * c + 6 * s : 400 * c + 6 * s + 60])) for c in range(10) for s in range(40)]
+    ids = list(range(1, 1 + len(rows)))
+    rng.shuffle(ids)
+    docs = spark.createDataFrame([(i, t, s) for i, (s, t) in zip(ids, rows)], "doc_id long, text string, n int").repartition(7)
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = sorted(r["doc_id"] for r in pipeline.drop_copies(spark, docs, "").collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted(min(ids[40 * c : 40 * c + 40]) for c in range(10))
+
+
 def alignment(item, text):
     """The best local score of two word lists."""
     best, before = 0, [0] * (len(text) + 1)
